@@ -28,13 +28,17 @@ def app_folder(spark: SparkSession, *parts: str) -> str:
     return "/".join([shared_folder(spark), f"tidemark-{spark.sparkContext.applicationId}", *parts])
 
 
+def table_path(spark: SparkSession, scope: str, name: str) -> str:
+    return app_folder(spark, hashlib.md5(scope.encode()).hexdigest()[:12], name)
+
+
 def stored_once(spark: SparkSession, scope: str, name: str, build) -> DataFrame:
     """A derived table, written on first use in this application and read afterwards.
 
     The written files cut the lineage, so later queries survive lost executors
     without recomputing it.
     """
-    path = app_folder(spark, hashlib.md5(scope.encode()).hexdigest()[:12], name)
+    path = table_path(spark, scope, name)
     if (spark.sparkContext.applicationId, path) not in _written:
         build().write.mode("overwrite").parquet(path)
         _written.add((spark.sparkContext.applicationId, path))
