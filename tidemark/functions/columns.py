@@ -1,32 +1,29 @@
 """Column expressions shared by the operators. Everything stays on the JVM."""
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.schemas import MART_MONEY, RATIO
-
 
 # -- money ------------------------------------------------------------------
-def cents(amount: Column) -> Column:
+# These return SQL text for selectExpr and F.expr: the marts use them on many
+# columns, and one parsed expression is cheaper to build than many Column calls.
+def cents(amount: str) -> str:
     """A two-decimal amount as whole cents.
 
     Sums over cents keep fixed-width long buffers in hash aggregates; ANSI mode
     raises on overflow instead of returning a wrong total.
     """
-    return (amount * F.lit(100)).cast("long")
+    return f"CAST(({amount}) * 100 AS BIGINT)"
 
 
-def from_cents(amount: Column, kind=MART_MONEY) -> Column:
-    return (amount.cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast(kind)
+def from_cents(amount: str) -> str:
+    return f"CAST(CAST({amount} AS DECIMAL(18,0)) * 0.01 AS DECIMAL(16,2))"
 
 
-def ratio(numerator: Column, denominator: Column) -> Column:
+def ratio(numerator: str, denominator: str) -> str:
     """numerator / denominator rounded to the stored ratio type; NULL over zero."""
-    return F.try_divide(
-        numerator.cast("decimal(18,2)"), denominator.cast("decimal(18,2)")
-    ).cast(RATIO)
+    parts = ", ".join(f"CAST({part} AS DECIMAL(18,2))" for part in (numerator, denominator))
+    return f"CAST(try_divide({parts}) AS DECIMAL(10,6))"
 
 
 # -- dates ------------------------------------------------------------------

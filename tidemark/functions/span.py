@@ -35,16 +35,27 @@ class ReportSpan:
         days = (self.end - self.start).days
         return [self.start + timedelta(days=n) for n in range(days + 1)]
 
-    def clamp(self, day: Column) -> Column:
-        """Days before the span count as its first day."""
-        return F.greatest(day, self.first)
+    @property
+    def first_sql(self) -> str:
+        return f"DATE '{self.start.isoformat()}'"
+
+    @property
+    def last_sql(self) -> str:
+        return f"DATE '{self.end.isoformat()}'"
+
+    def clamp(self, day: str) -> str:
+        """SQL: days before the span count as its first day."""
+        return f"greatest({day}, {self.first_sql})"
+
+    def days(self, since: str, until: str | None = None) -> str:
+        """SQL generator: every span date from ``since`` up to ``until``.
 
-    def days(self, since: Column, until: Column | None = None) -> Column:
-        """Generator column: every span date from ``since`` up to ``until``."""
-        stop = self.last if until is None else F.least(until, self.last)
+        A NULL ``until`` means the end of the span.
+        """
         begin = self.clamp(since)
+        stop = self.last_sql if until is None else f"least({until}, {self.last_sql})"
         # sequence() counts downwards when its bounds cross, so guard them.
-        return F.explode(F.when(begin <= stop, F.sequence(begin, stop)))
+        return f"explode(CASE WHEN {begin} <= {stop} THEN sequence({begin}, {stop}) END)"
 
     def frame(self, spark: SparkSession) -> DataFrame:
         return spark.range(1).select(

@@ -1,6 +1,6 @@
 """State of the loan book as of report dates."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import days_past_due, month_start, months_on_book
@@ -61,22 +61,25 @@ def payment_steps(payments: DataFrame, span: ReportSpan) -> DataFrame:
     most one row per span date however many payments it received.
     """
     daily = (
-        payments.filter(F.col("payment_date") <= span.last)
-        .groupBy("installment_id", span.clamp(F.col("payment_date")).alias("step_date"))
+        payments.filter(f"payment_date <= {span.last_sql}")
+        .selectExpr(
+            "installment_id", f"{span.clamp('payment_date')} AS step_date", "amount", "principal_paid"
+        )
+        .groupBy("installment_id", "step_date")
         .agg(
             F.sum("amount").alias("step_amount"),
             F.sum("principal_paid").alias("step_principal"),
         )
     )
-    by_date = Window.partitionBy("installment_id").orderBy("step_date")
-    running = by_date.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return daily.select(
+    by_date = "OVER (PARTITION BY installment_id ORDER BY step_date)"
+    running = by_date.replace(")", " ROWS UNBOUNDED PRECEDING)")
+    return daily.selectExpr(
         "installment_id",
         "step_date",
-        F.row_number().over(by_date).alias("step_no"),
-        F.lead("step_date").over(by_date).alias("next_step_date"),
-        F.sum("step_amount").over(running).alias("amount_paid"),
-        F.sum("step_principal").over(running).alias("principal_paid"),
+        f"row_number() {by_date} AS step_no",
+        f"lead(step_date) {by_date} AS next_step_date",
+        f"sum(step_amount) {running} AS amount_paid",
+        f"sum(step_principal) {running} AS principal_paid",
         "step_amount",
         "step_principal",
     )
@@ -86,7 +89,7 @@ def paid_as_of(payments: DataFrame, span: ReportSpan) -> DataFrame:
     """Paid totals per (report date, installment), counting payments up to that date."""
     if span.start == span.end:
         return (
-            payments.filter(F.col("payment_date") <= span.last)
+            payments.filter(f"payment_date <= {span.last_sql}")
             .groupBy("installment_id")
             .agg(
                 F.sum("amount").alias("amount_paid"),
@@ -94,8 +97,8 @@ def paid_as_of(payments: DataFrame, span: ReportSpan) -> DataFrame:
             )
             .select(span.last.alias("report_date"), "*")
         )
-    return payment_steps(payments, span).select(
-        span.days(F.col("step_date"), F.date_sub("next_step_date", 1)).alias("report_date"),
+    return payment_steps(payments, span).selectExpr(
+        f"{span.days('step_date', 'date_sub(next_step_date, 1)')} AS report_date",
         "installment_id",
         "amount_paid",
         "principal_paid",
@@ -110,12 +113,12 @@ def _state(
             "installment_id", "loan_id", "due_date", "amount_due", "scheduled_principal"
         )
         .join(
-            loans.filter(F.col("disbursement_date") <= span.last).select(
+            loans.filter(f"disbursement_date <= {span.last_sql}").select(
                 "loan_id", "risk_grade", "disbursement_date"
             ),
             "loan_id",
         )
-        .withColumn("report_date", span.days(F.col("disbursement_date")))
+        .selectExpr("*", f"{span.days('disbursement_date')} AS report_date")
     )
     return book.join(paid_as_of(payments, span), ["report_date", "installment_id"], "left").select(
         "report_date",

@@ -1,6 +1,6 @@
 """Credit-funnel and campaign marts, and rates derived from them."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import cents, from_cents, ratio
@@ -9,16 +9,8 @@ from tidemark.operators.attribution import CUSTOMER_CAMPAIGN, join_within_days
 from tidemark.schemas import MARTS, conform
 
 
-def _funded_per_application(loans: DataFrame, span: ReportSpan) -> DataFrame:
-    """Loans of an application by disbursement date, disbursed by the span's end."""
-    return (
-        loans.filter(F.col("disbursement_date") <= span.last)
-        .groupBy("application_id", "disbursement_date")
-        .agg(
-            F.count(F.lit(1)).alias("funded"),
-            F.sum(cents(F.col("principal"))).alias("funded_cents"),
-        )
-    )
+def _sums(columns):
+    return [F.sum(c).alias(c) for c in columns]
 
 
 def credit_kpi(
@@ -32,48 +24,52 @@ def credit_kpi(
     makes the distinct applicants a plain count.
     """
     dated = applications.filter(
-        F.col("application_date").between(span.first, span.last)
-    ).select(
+        f"application_date BETWEEN {span.first_sql} AND {span.last_sql}"
+    ).selectExpr(
         "application_id",
         "customer_id",
         "application_date",
         "channel",
         "product_code",
-        cents(F.col("requested_amount")).alias("requested"),
-        (F.col("decision") == "approved").alias("approved"),
-        "offer_accepted",
+        f"{cents('requested_amount')} AS requested",
+        "coalesce(decision = 'approved', false) AS approved",
+        "coalesce(offer_accepted, false) AS taken",
+    )
+    # Loans of an application by disbursement date, one row each.
+    funded = (
+        loans.filter(f"disbursement_date <= {span.last_sql}")
+        .groupBy("application_id", "disbursement_date")
+        .agg(F.count(F.lit(1)).alias("loans"), F.expr(f"sum({cents('principal')}) AS loan_cents"))
     )
-    funded = _funded_per_application(loans, span)
     joined = dated.join(
         funded,
         (dated.application_id == funded.application_id)
         & (funded.disbursement_date <= dated.application_date),
         "left",
+    ).selectExpr(
+        "application_date",
+        "channel",
+        "product_code",
+        "customer_id",
+        "coalesce(loans, 1L) AS applications",
+        "IF(approved, coalesce(loans, 1L), 0L) AS approvals",
+        "IF(taken, coalesce(loans, 1L), 0L) AS accepted",
+        "coalesce(loans, 0L) AS funded_count",
+        "requested * coalesce(loans, 1L) AS requested",
+        "coalesce(loan_cents, 0L) AS funded",
     )
-    copies = F.coalesce(F.col("funded"), F.lit(1))
     grain = ["application_date", "channel", "product_code"]
-    per_customer = joined.groupBy(*grain, "customer_id").agg(
-        F.sum(copies).alias("applications"),
-        F.sum(F.when(F.col("approved"), copies).otherwise(0)).alias("approvals"),
-        F.sum(F.when(F.col("offer_accepted"), copies).otherwise(0)).alias("accepted"),
-        F.sum(F.coalesce("funded", F.lit(0))).alias("funded_count"),
-        F.sum(F.col("requested") * copies).alias("requested"),
-        F.sum(F.coalesce("funded_cents", F.lit(0))).alias("funded_cents"),
-    )
-    measures = [
-        "applications", "approvals", "accepted", "funded_count", "requested", "funded_cents",
-    ]
+    measures = ["applications", "approvals", "accepted", "funded_count", "requested", "funded"]
     grouped = (
-        per_customer.join(customers.select("customer_id", "risk_grade"), "customer_id")
+        joined.groupBy(*grain, "customer_id")
+        .agg(*_sums(measures))
+        .join(customers.select("customer_id", "risk_grade"), "customer_id")
         .groupBy(*grain, "risk_grade")
-        .agg(
-            F.count(F.lit(1)).alias("unique_applicants"),
-            *[F.sum(m).alias(m) for m in measures],
-        )
+        .agg(F.count(F.lit(1)).alias("unique_applicants"), *_sums(measures))
     )
     return conform(
-        grouped.select(
-            F.col("application_date").alias("report_date"),
+        grouped.selectExpr(
+            "application_date AS report_date",
             "channel",
             "product_code",
             "risk_grade",
@@ -82,15 +78,51 @@ def credit_kpi(
             "approvals",
             "accepted",
             "funded_count",
-            from_cents(F.col("requested")).alias("requested_amount"),
-            from_cents(F.col("funded_cents")).alias("funded_amount"),
-            ratio(F.col("approvals"), F.col("applications")).alias("approval_rate"),
-            ratio(F.col("accepted"), F.col("approvals")).alias("acceptance_rate"),
+            f"{from_cents('requested')} AS requested_amount",
+            f"{from_cents('funded')} AS funded_amount",
+            f"{ratio('approvals', 'applications')} AS approval_rate",
+            f"{ratio('accepted', 'approvals')} AS acceptance_rate",
         ),
         MARTS["daily_credit_kpi"],
     )
 
 
+def _outcomes(applications: DataFrame, loans: DataFrame, span: ReportSpan, since: str) -> DataFrame:
+    """Campaign applications and their loans per customer, campaign and day.
+
+    ``visible_date`` is the day from which a count belongs in a report: the
+    application date, or the later disbursement date of a loan.
+    """
+    applied = applications.filter(
+        f"campaign_id IS NOT NULL AND application_date BETWEEN {since} AND {span.last_sql}"
+    ).select("application_id", *CUSTOMER_CAMPAIGN, "application_date")
+    key = [*CUSTOMER_CAMPAIGN, "application_date"]
+    submitted = (
+        applied.groupBy(*key)
+        .agg(F.count(F.lit(1)).alias("applications"))
+        .selectExpr(
+            *key,
+            "application_date AS visible_date",
+            "applications",
+            "0L AS funded_count",
+            "0L AS loan_cents",
+        )
+    )
+    disbursed = loans.filter(f"disbursement_date <= {span.last_sql}").selectExpr(
+        "application_id", "disbursement_date", f"{cents('principal')} AS loan_cents"
+    )
+    funded = (
+        applied.join(disbursed, "application_id")
+        .selectExpr(
+            *key, "greatest(application_date, disbursement_date) AS visible_date", "loan_cents"
+        )
+        .groupBy(*key, "visible_date")
+        .agg(F.count(F.lit(1)).alias("funded_count"), F.sum("loan_cents").alias("loan_cents"))
+        .selectExpr(*key, "visible_date", "0L AS applications", "funded_count", "loan_cents")
+    )
+    return submitted.unionByName(funded)
+
+
 def campaign_kpi(
     touches: DataFrame,
     applications: DataFrame,
@@ -103,96 +135,73 @@ def campaign_kpi(
 
     Any touch within ``attribution_days`` before an application is credited, so two
     touches of one customer in a group double the funded amount while applications
-    and loans stay distinct. Results become visible from the day they happen: the
+    and loans stay distinct. Outcomes become visible from the day they happen: the
     join runs once for the whole span and the report dates come from running sums.
+    Both sides meet as one row per customer and day, so a customer or campaign with
+    very many touches stays bounded by the calendar.
     """
     group = ["touch_date", "campaign_id", "channel"]
-    recent = touches.filter(
-        F.col("touch_date").between(F.date_sub(span.first, touch_days), span.last)
-    )
-    per_customer = recent.groupBy(*group, "customer_id").agg(
-        F.count(F.lit(1)).alias("touches"),
-        F.count_if("opened").alias("opens"),
-        F.count_if("clicked").alias("clicks"),
-    )
-
-    applied = applications.filter(
-        F.col("campaign_id").isNotNull()
-        & F.col("application_date").between(F.date_sub(span.first, touch_days), span.last)
-    ).select("application_id", *CUSTOMER_CAMPAIGN, "application_date")
-    per_day = [*CUSTOMER_CAMPAIGN, "application_date"]
-    no_count = F.lit(0).cast("long")
-    submitted = applied.groupBy(*per_day).agg(
-        F.first("application_date").alias("visible_date"),
-        F.count(F.lit(1)).alias("applications"),
-        F.first(no_count).alias("funded_count"),
-        F.first(no_count).alias("funded_cents"),
-    )
-    disbursed = loans.filter(F.col("disbursement_date") <= span.last).select(
-        "application_id", "disbursement_date", cents(F.col("principal")).alias("cents")
-    )
-    funded = (
-        applied.join(disbursed, "application_id")
-        .groupBy(
-            *per_day,
-            F.greatest("application_date", "disbursement_date").alias("visible_date"),
-        )
+    since = f"date_sub({span.first_sql}, {touch_days})"
+    per_customer = (
+        touches.filter(f"touch_date BETWEEN {since} AND {span.last_sql}")
+        .groupBy(*group, "customer_id")
         .agg(
-            F.first(no_count).alias("applications"),
-            F.count(F.lit(1)).alias("funded_count"),
-            F.sum("cents").alias("funded_cents"),
+            F.count(F.lit(1)).alias("touches"),
+            F.count_if("opened").alias("opens"),
+            F.count_if("clicked").alias("clicks"),
         )
     )
     credited = join_within_days(
         per_customer,
-        submitted.unionByName(funded),
+        _outcomes(applications, loans, span, since),
         CUSTOMER_CAMPAIGN,
         "touch_date",
         "application_date",
         attribution_days,
     )
-
-    until = F.date_add("touch_date", touch_days)
-    activity = per_customer.select(
+    until = f"date_add(touch_date, {touch_days})"
+    activity = per_customer.selectExpr(
         *group,
-        span.clamp(F.col("touch_date")).alias("change_date"),
+        f"{span.clamp('touch_date')} AS change_date",
         "touches",
         "opens",
         "clicks",
-        no_count.alias("applications"),
-        no_count.alias("funded_count"),
-        no_count.alias("funded_cents"),
+        "0L AS applications",
+        "0L AS funded_count",
+        "0L AS loan_cents",
     )
-    results = credited.filter(F.col("visible_date") <= until).select(
+    results = credited.filter(f"visible_date <= {until}").selectExpr(
         *group,
-        span.clamp(F.col("visible_date")).alias("change_date"),
-        no_count.alias("touches"),
-        no_count.alias("opens"),
-        no_count.alias("clicks"),
+        f"{span.clamp('visible_date')} AS change_date",
+        "0L AS touches",
+        "0L AS opens",
+        "0L AS clicks",
         "applications",
         "funded_count",
-        (F.col("funded_cents") * F.col("touches")).alias("funded_cents"),
+        "loan_cents * touches AS loan_cents",
     )
-    measures = ["touches", "opens", "clicks", "applications", "funded_count", "funded_cents"]
+    counts = ["touches", "opens", "clicks", "applications", "funded_count"]
     changes = (
         activity.unionByName(results)
         .groupBy(*group, "change_date")
-        .agg(*[F.sum(m).alias(m) for m in measures])
+        .agg(*_sums([*counts, "loan_cents"]))
     )
-    by_date = Window.partitionBy(*group).orderBy("change_date")
-    running = by_date.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    levels = changes.select(
+    by_date = f"OVER (PARTITION BY {', '.join(group)} ORDER BY change_date"
+    levels = changes.selectExpr(
         *group,
         "change_date",
-        F.coalesce(F.date_sub(F.lead("change_date").over(by_date), 1), until).alias("holds_until"),
-        *[F.sum(m).over(running).alias(m) for m in measures],
+        f"least(date_sub(lead(change_date) {by_date}), 1), {until}) AS holds_until",
+        *[
+            f"sum({m}) {by_date} ROWS UNBOUNDED PRECEDING) AS {m}"
+            for m in [*counts, "loan_cents"]
+        ],
     )
     return conform(
-        levels.select(
-            span.days(F.col("change_date"), F.least("holds_until", until)).alias("report_date"),
+        levels.selectExpr(
+            f"{span.days('change_date', 'holds_until')} AS report_date",
             *group,
-            *measures[:-1],
-            from_cents(F.col("funded_cents")).alias("funded_amount"),
+            *counts,
+            f"{from_cents('loan_cents')} AS funded_amount",
         ),
         MARTS["daily_campaign_kpi"],
     )
@@ -206,5 +215,5 @@ def funding_rate(credit_mart: DataFrame) -> DataFrame:
             F.sum("accepted").cast("int").alias("accepted"),
             F.sum("funded_count").cast("int").alias("funded_count"),
         )
-        .withColumn("funding_rate", ratio(F.col("funded_count"), F.col("accepted")))
+        .selectExpr("*", f"{ratio('funded_count', 'accepted')} AS funding_rate")
     )

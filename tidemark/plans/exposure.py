@@ -1,15 +1,15 @@
-"""Portfolio and vintage marts from one ledger of dated balance changes.
+"""Portfolio and vintage marts from dated balance changes.
 
 Joining every installment with every report date would multiply the largest table
 by the length of the look-back. Here each installment instead emits the few dates
 on which one of its measures changes (disbursed, due, 1/7/30/90 days late, paid),
 with the signed change. Changes before the span collapse onto its first day.
-Summed per loan and then per (grade, disbursement date, change date) they form a
-small ledger; running sums over it give the snapshot of every report date, so a
-rebuild of years costs one pass over the installments, like a single day.
+Summed per loan and then per grade or disbursement date they are small; running
+sums over them give the snapshot of every report date, so a rebuild of years costs
+one pass over the installments, like a single day.
 """
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import cents, from_cents, month_start, months_on_book, ratio
@@ -20,204 +20,212 @@ from tidemark.schemas import MARTS, conform
 BUCKETS = (1, 7, 30, 90)
 DPD = [f"dpd_{days}" for days in BUCKETS]
 BALANCES = ["outstanding", "amount_due", "amount_paid", *DPD]
+COUNTS = ["loans", "active_loans"]
 
 
-def _installment_changes(
+def _sums(columns):
+    return [F.sum(c).alias(c) for c in columns]
+
+
+def _installment_phases(
     installments: DataFrame, payments: DataFrame, span: ReportSpan
 ) -> DataFrame:
-    """(loan_id, change_date, open_change, balance changes in cents) per installment."""
-    steps = payment_steps(payments, span).select(
+    """Stretches of constant paid totals per installment, in cents.
+
+    The opening phase starts with the span and includes what was paid by then;
+    each later one starts at a payment and knows the totals before it.
+    """
+    steps = payment_steps(payments, span).selectExpr(
         "installment_id",
         "step_date",
         "step_no",
-        cents(F.col("amount_paid")).alias("paid"),
-        cents(F.col("principal_paid")).alias("principal"),
-        cents(F.col("step_amount")).alias("step_amount"),
-        cents(F.col("step_principal")).alias("step_principal"),
+        f"{cents('amount_paid')} AS paid",
+        f"{cents('principal_paid')} AS principal",
+        f"{cents('amount_paid - step_amount')} AS paid_before",
+        f"{cents('principal_paid - step_principal')} AS principal_before",
     )
-    book = installments.select(
+    book = installments.selectExpr(
         "installment_id",
         "loan_id",
         "due_date",
-        cents(F.col("scheduled_principal")).alias("scheduled"),
-        cents(F.col("amount_due")).alias("due"),
+        f"{cents('scheduled_principal')} AS scheduled",
+        f"{cents('amount_due')} AS due",
     ).join(steps, "installment_id", "left")
 
-    # Each phase has constant paid totals. The opening phase starts with the span
-    # and includes what was paid by then; later phases start at a payment.
-    def phase(since, paid, principal, opening, paid_before=None, principal_before=None):
-        none = F.lit(0).cast("long")
-        return F.struct(
-            since.alias("since"),
-            paid.alias("paid"),
-            principal.alias("principal"),
-            (none if paid_before is None else paid_before).alias("paid_before"),
-            (none if principal_before is None else principal_before).alias("principal_before"),
-            F.lit(opening).alias("opening"),
+    def phase(since, paid, principal, paid_before, principal_before, opening):
+        return (
+            f"named_struct('since', {since}, 'paid', {paid}, 'principal', {principal}, "
+            f"'paid_before', {paid_before}, 'principal_before', {principal_before}, "
+            f"'opening', {opening})"
         )
 
-    step_date, paid, principal = F.col("step_date"), F.col("paid"), F.col("principal")
-    zero = F.lit(0).cast("long")
-    unpaid = phase(span.first, zero, zero, True)
-    paid_at_open = phase(span.first, paid, principal, True)
-    payment = phase(
-        step_date,
-        paid,
-        principal,
-        False,
-        paid - F.col("step_amount"),
-        principal - F.col("step_principal"),
-    )
-    phases = (
-        F.when(step_date.isNull(), F.array(unpaid))
-        .when(F.col("step_no") > 1, F.array(payment))
-        .when(step_date == span.first, F.array(paid_at_open))
-        .otherwise(F.array(unpaid, payment))
-    )
-    timeline = book.select("loan_id", "due_date", "scheduled", "due", F.inline(phases))
-
-    since, due_date, due = F.col("since"), F.col("due_date"), F.col("due")
-    opening = F.col("opening")
-    left_now = F.greatest(F.col("scheduled") - F.col("principal"), zero)
-    left_before = F.greatest(F.col("scheduled") - F.col("principal_before"), zero)
-    short_now = F.when(F.col("paid") < due, left_now).otherwise(zero)
-    short_before = F.when(F.col("paid_before") < due, left_before).otherwise(zero)
-
-    def change(now, before):
-        return F.when(opening, now).otherwise(now - before)
-
-    falls_due = F.greatest(since, due_date)
-    late_from = {days: F.greatest(since, F.date_add(due_date, days)) for days in BUCKETS}
-    moments = F.array_distinct(F.array(since, falls_due, *late_from.values()))
-    dated = timeline.select(
+    unpaid = phase(span.first_sql, "0L", "0L", "0L", "0L", "true")
+    partly_paid = phase(span.first_sql, "paid", "principal", "0L", "0L", "true")
+    payment = phase("step_date", "paid", "principal", "paid_before", "principal_before", "false")
+    return book.selectExpr(
         "loan_id",
-        since.alias("since"),
-        falls_due.alias("falls_due"),
-        *[day.alias(f"late_{days}") for days, day in late_from.items()],
-        change((left_now > 0).cast("long"), (left_before > 0).cast("long")).alias("open_value"),
-        change(left_now, left_before).alias("left_value"),
-        F.when(opening, due).otherwise(zero).alias("due_value"),
-        change(F.least(F.col("paid"), due), F.least(F.col("paid_before"), due)).alias(
-            "paid_value"
-        ),
-        change(short_now, short_before).alias("short_value"),
-        F.explode(moments).alias("change_date"),
-    ).filter(F.col("change_date") <= span.last)
+        "due_date",
+        "scheduled",
+        "due",
+        f"""inline(CASE WHEN step_date IS NULL THEN array({unpaid})
+            WHEN step_no > 1 THEN array({payment})
+            WHEN step_date = {span.first_sql} THEN array({partly_paid})
+            ELSE array({unpaid}, {payment}) END)""",
+    )
 
-    at = lambda day, value: F.when(F.col("change_date") == F.col(day), F.col(value)).otherwise(
-        zero
+
+def _installment_changes(
+    installments: DataFrame, payments: DataFrame, span: ReportSpan
+) -> DataFrame:
+    """(loan_id, change_date) rows with the change of every measure on that date."""
+    phases = _installment_phases(installments, payments, span)
+    levels = phases.selectExpr(
+        "loan_id",
+        "since",
+        "opening",
+        "due",
+        "greatest(since, due_date) AS falls_due",
+        *[f"greatest(since, date_add(due_date, {k})) AS late_{k}" for k in BUCKETS],
+        "least(paid, due) AS capped",
+        "least(paid_before, due) AS capped_before",
+        "greatest(scheduled - principal, 0L) AS remaining",
+        "greatest(scheduled - principal_before, 0L) AS remaining_before",
+        "paid < due AS short",
+        "paid_before < due AS short_before",
     )
-    return dated.select(
+    late_dates = [f"late_{k}" for k in BUCKETS]
+    moments = ", ".join(["since", "falls_due", *late_dates])
+    signed = levels.selectExpr(
+        "loan_id",
+        "since",
+        "falls_due",
+        *late_dates,
+        "CAST(remaining > 0 AS BIGINT) - CAST(NOT opening AND remaining_before > 0 AS BIGINT) "
+        "AS open_value",
+        "remaining - IF(opening, 0L, remaining_before) AS remaining_value",
+        "IF(opening, due, 0L) AS due_value",
+        "capped - IF(opening, 0L, capped_before) AS paid_value",
+        "IF(short, remaining, 0L) - IF(NOT opening AND short_before, remaining_before, 0L) "
+        "AS late_value",
+        f"explode(array_distinct(array({moments}))) AS change_date",
+    ).filter(f"change_date <= {span.last_sql}")
+
+    def on(day, value, name):
+        return f"IF(change_date = {day}, {value}, 0L) AS {name}"
+
+    return signed.selectExpr(
         "loan_id",
         "change_date",
-        at("since", "open_value").alias("open_installments"),
-        at("since", "left_value").alias("outstanding"),
-        at("falls_due", "due_value").alias("amount_due"),
-        at("falls_due", "paid_value").alias("amount_paid"),
-        *[at(f"late_{days}", "short_value").alias(f"dpd_{days}") for days in BUCKETS],
+        on("since", "open_value", "open_installments"),
+        on("since", "remaining_value", "outstanding"),
+        on("falls_due", "due_value", "amount_due"),
+        on("falls_due", "paid_value", "amount_paid"),
+        *[on(f"late_{k}", "late_value", f"dpd_{k}") for k in BUCKETS],
     )
 
 
-def exposure_ledger(
+def loan_changes(
     installments: DataFrame, loans: DataFrame, payments: DataFrame, span: ReportSpan
 ) -> DataFrame:
-    """Changes per (risk_grade, disbursement_date, change_date).
+    """Changes per loan and date with the loan's grade and disbursement date.
 
-    ``loans`` counts loans that appear, ``active_loans`` loans gaining or losing
-    their last installment with principal left; balances are in cents.
+    ``loans`` is 1 where a loan appears, ``active_loans`` +1 or -1 where it gains
+    or loses its last installment with principal left; balances are in cents. A
+    loan has at most one row per span date before it meets the loan table.
     """
     per_loan = (
         _installment_changes(installments, payments, span)
         .groupBy("loan_id", "change_date")
-        .agg(*[F.sum(c).alias(c) for c in ["open_installments", *BALANCES]])
+        .agg(*_sums(["open_installments", *BALANCES]))
     )
-    disbursed = loans.filter(F.col("disbursement_date") <= span.last).select(
+    disbursed = loans.filter(f"disbursement_date <= {span.last_sql}").select(
         "loan_id", "risk_grade", "disbursement_date"
     )
-    by_date = Window.partitionBy("loan_id").orderBy("change_date")
-    running = by_date.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    open_now = F.sum("open_installments").over(running)
-    tracked = (
-        per_loan.join(disbursed, "loan_id")
-        .withColumn("open_now", open_now)
-        .withColumn("first_change", F.row_number().over(by_date) == 1)
+    by_date = "OVER (PARTITION BY loan_id ORDER BY change_date"
+    tracked = per_loan.join(disbursed, "loan_id").selectExpr(
+        "*",
+        f"sum(open_installments) {by_date} ROWS UNBOUNDED PRECEDING) AS open_now",
+        f"row_number() {by_date}) = 1 AS appears",
     )
-    open_before = F.col("open_now") - F.col("open_installments")
-    flips = (F.col("open_now") > 0).cast("long") - F.when(
-        F.col("first_change"), F.lit(0)
-    ).otherwise((open_before > 0).cast("long"))
+    return tracked.selectExpr(
+        "risk_grade",
+        "disbursement_date",
+        # A loan's changes dated before its disbursement appear with it.
+        "greatest(change_date, disbursement_date) AS change_date",
+        "CAST(appears AS BIGINT) AS loans",
+        "CAST(open_now > 0 AS BIGINT) "
+        "- CAST(NOT appears AND open_now - open_installments > 0 AS BIGINT) AS active_loans",
+        *BALANCES,
+    )
+
+
+def exposure_ledger(
+    installments: DataFrame, loans: DataFrame, payments: DataFrame, span: ReportSpan
+) -> DataFrame:
+    """Changes per (risk_grade, disbursement_date, change_date), for both marts."""
     return (
-        tracked.select(
-            "risk_grade",
-            "disbursement_date",
-            # A loan's changes dated before its disbursement appear with it.
-            F.greatest("change_date", "disbursement_date").alias("change_date"),
-            F.col("first_change").cast("long").alias("loans"),
-            flips.alias("active_loans"),
-            *BALANCES,
-        )
+        loan_changes(installments, loans, payments, span)
         .groupBy("risk_grade", "disbursement_date", "change_date")
-        .agg(*[F.sum(c).alias(c) for c in ["loans", "active_loans", *BALANCES]])
+        .agg(*_sums([*COUNTS, *BALANCES]))
     )
 
 
-def _daily_levels(ledger: DataFrame, keys: list[str], measures: list[str], span) -> DataFrame:
-    """Running totals of the ledger per key, repeated for every report date."""
-    changes = ledger.groupBy(*keys, "change_date").agg(*[F.sum(m).alias(m) for m in measures])
-    by_date = Window.partitionBy(*keys).orderBy("change_date")
-    running = by_date.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    levels = changes.select(
-        *keys,
+def _daily_levels(changes: DataFrame, key: str, measures: list[str], span) -> DataFrame:
+    """Running totals of the changes per key, repeated for every report date."""
+    daily = changes.groupBy(key, "change_date").agg(*_sums(measures))
+    by_date = f"OVER (PARTITION BY {key} ORDER BY change_date"
+    levels = daily.selectExpr(
+        key,
         "change_date",
-        F.lead("change_date").over(by_date).alias("next_change"),
-        *[F.sum(m).over(running).alias(m) for m in measures],
+        f"lead(change_date) {by_date}) AS next_change",
+        *[f"sum({m}) {by_date} ROWS UNBOUNDED PRECEDING) AS {m}" for m in measures],
     )
-    return levels.select(
-        span.days(F.col("change_date"), F.date_sub("next_change", 1)).alias("report_date"),
-        *keys,
-        *measures,
+    return levels.selectExpr(
+        f"{span.days('change_date', 'date_sub(next_change, 1)')} AS report_date", key, *measures
     )
 
 
-def portfolio_from_ledger(ledger: DataFrame, span: ReportSpan) -> DataFrame:
-    levels = _daily_levels(ledger, ["risk_grade"], ["active_loans", *BALANCES], span)
+def portfolio_from_changes(changes: DataFrame, span: ReportSpan) -> DataFrame:
+    levels = _daily_levels(changes, "risk_grade", ["active_loans", *BALANCES], span)
     return conform(
-        levels.select(
+        levels.selectExpr(
             "report_date",
             "risk_grade",
             "active_loans",
-            from_cents(F.col("outstanding")).alias("outstanding_principal"),
-            from_cents(F.col("amount_due")).alias("amount_due"),
-            from_cents(F.col("amount_paid")).alias("amount_paid"),
-            ratio(F.col("amount_paid"), F.col("amount_due")).alias("collection_rate"),
-            *[from_cents(F.col(c)).alias(f"{c}_balance") for c in DPD],
+            f"{from_cents('outstanding')} AS outstanding_principal",
+            f"{from_cents('amount_due')} AS amount_due",
+            f"{from_cents('amount_paid')} AS amount_paid",
+            f"{ratio('amount_paid', 'amount_due')} AS collection_rate",
+            *[f"{from_cents(c)} AS {c}_balance" for c in DPD],
         ),
         MARTS["daily_portfolio_kpi"],
     )
 
 
-def vintage_from_ledger(ledger: DataFrame, span: ReportSpan) -> DataFrame:
+def vintage_from_changes(changes: DataFrame, span: ReportSpan) -> DataFrame:
     # Months on book depend on the day of disbursement, so levels are kept per
     # disbursement date (bounded by the calendar) and rolled up per report date.
-    levels = _daily_levels(
-        ledger, ["disbursement_date"], ["loans", "outstanding", "dpd_30"], span
+    measures = ["loans", "outstanding", "dpd_30"]
+    rolled = (
+        _daily_levels(changes, "disbursement_date", measures, span)
+        .groupBy(
+            "report_date",
+            month_start(F.col("disbursement_date")).alias("origination_month"),
+            months_on_book(F.col("report_date"), F.col("disbursement_date")).alias(
+                "months_on_book"
+            ),
+        )
+        .agg(*_sums(measures))
     )
-    rolled = levels.groupBy(
-        "report_date",
-        month_start(F.col("disbursement_date")).alias("origination_month"),
-        months_on_book(F.col("report_date"), F.col("disbursement_date")).alias("months_on_book"),
-    ).agg(*[F.sum(c).alias(c) for c in ["loans", "outstanding", "dpd_30"]])
     return conform(
-        rolled.select(
+        rolled.selectExpr(
             "report_date",
             "origination_month",
             "months_on_book",
-            F.col("loans").alias("active_loans"),
-            from_cents(F.col("outstanding")).alias("outstanding_principal"),
-            from_cents(F.col("dpd_30")).alias("dpd_30_balance"),
-            F.coalesce(ratio(F.col("dpd_30"), F.col("outstanding")), F.lit(0)).alias(
-                "dpd_30_rate"
-            ),
+            "loans AS active_loans",
+            f"{from_cents('outstanding')} AS outstanding_principal",
+            f"{from_cents('dpd_30')} AS dpd_30_balance",
+            f"coalesce({ratio('dpd_30', 'outstanding')}, 0) AS dpd_30_rate",
         ),
         MARTS["vintage_kpi"],
     )
@@ -225,9 +233,9 @@ def vintage_from_ledger(ledger: DataFrame, span: ReportSpan) -> DataFrame:
 
 def portfolio_kpi(installments, loans, payments, span: ReportSpan) -> DataFrame:
     """Balances, collections and delinquency per report date and loan grade."""
-    return portfolio_from_ledger(exposure_ledger(installments, loans, payments, span), span)
+    return portfolio_from_changes(loan_changes(installments, loans, payments, span), span)
 
 
 def vintage_kpi(loans, installments, payments, span: ReportSpan) -> DataFrame:
     """Balances and 30-day delinquency per origination month and months on book."""
-    return vintage_from_ledger(exposure_ledger(installments, loans, payments, span), span)
+    return vintage_from_changes(loan_changes(installments, loans, payments, span), span)

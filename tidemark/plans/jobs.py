@@ -21,7 +21,7 @@ from tidemark.operators.ingest import (
 from tidemark.operators.quality import all_checks, dq_summary, gate
 from tidemark.operators.upsert import keyed_upsert
 from tidemark.plans.acquisition import campaign_kpi, credit_kpi
-from tidemark.plans.exposure import exposure_ledger, portfolio_from_ledger, vintage_from_ledger
+from tidemark.plans.exposure import exposure_ledger, portfolio_from_changes, vintage_from_changes
 from tidemark.schemas import AUDIT, DQ_SUMMARY, EVENTS, KEYS, MARTS, REJECTED_EVENTS, RUN_LOG, conform
 from tidemark.sources.storage import append, export_csv, overwrite_partitions, read_table
 
@@ -90,9 +90,9 @@ def refresh_marts(
         ).write.mode("overwrite").parquet(path)
         ledger = spark.read.parquet(path)
         if "daily_portfolio_kpi" in marts:
-            frames["daily_portfolio_kpi"] = portfolio_from_ledger(ledger, span)
+            frames["daily_portfolio_kpi"] = portfolio_from_changes(ledger, span)
         if "vintage_kpi" in marts:
-            frames["vintage_kpi"] = vintage_from_ledger(ledger, span)
+            frames["vintage_kpi"] = vintage_from_changes(ledger, span)
     return {
         name: overwrite_partitions(df, f"{root}/mart/{name}", "report_date", span.dates)
         for name, df in frames.items()

@@ -60,7 +60,11 @@ class Tables:
         """Look-back marts written once per application, as the reports read them."""
         return {
             FULL[name]: storage.stored_once(
-                self.spark, self.sf_dir, f"mart_{name}", lambda: self.mart(name, LOOKBACK)
+                self.spark,
+                self.sf_dir,
+                f"mart_{name}",
+                lambda: self.mart(name, LOOKBACK),
+                MARTS[FULL[name]],
             )
             for name in names
         }
@@ -110,7 +114,7 @@ class Tables:
                 ["report_date", "check_name"],
             )
 
-        return storage.stored_once(self.spark, self.sf_dir, "dq_summary", build)
+        return storage.stored_once(self.spark, self.sf_dir, "dq_summary", build, DQ_SUMMARY)
 
 
 QUERIES = {}
@@ -452,11 +456,11 @@ def agg_ratios(t):
         F.count_if(F.col("decision") == "approved").alias("approvals"),
         F.count_if("offer_accepted").alias("accepted"),
     )
-    return counts.select(
+    return counts.selectExpr(
         "product_code",
         "channel",
-        C.ratio(F.col("approvals"), F.col("n")).alias("approval_rate"),
-        C.ratio(F.col("accepted"), F.col("approvals")).alias("acceptance_rate"),
+        f"{C.ratio('approvals', 'n')} AS approval_rate",
+        f"{C.ratio('accepted', 'approvals')} AS acceptance_rate",
     )
 
 

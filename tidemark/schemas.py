@@ -239,4 +239,6 @@ DQ_SUMMARY = _struct(
 
 def conform(df, schema):
     """Project ``df`` onto ``schema``: its column order and its types."""
-    return df.select([df[f.name].cast(f.dataType).alias(f.name) for f in schema])
+    return df.selectExpr(
+        *[f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema]
+    )

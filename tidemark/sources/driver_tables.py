@@ -312,7 +312,7 @@ _BUILDERS = {
 def event_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One raw event table, loaded from the given tables once per application."""
     return stored_once(
-        spark, sf_dir, f"raw_{name}", lambda: _BUILDERS[name](spark, sf_dir)
+        spark, sf_dir, f"raw_{name}", lambda: _BUILDERS[name](spark, sf_dir), EVENTS[name]
     )
 
 

@@ -32,7 +32,7 @@ def table_path(spark: SparkSession, scope: str, name: str) -> str:
     return app_folder(spark, hashlib.md5(scope.encode()).hexdigest()[:12], name)
 
 
-def stored_once(spark: SparkSession, scope: str, name: str, build) -> DataFrame:
+def stored_once(spark: SparkSession, scope: str, name: str, build, schema=None) -> DataFrame:
     """A derived table, written on first use in this application and read afterwards.
 
     The written files cut the lineage, so later queries survive lost executors
@@ -42,7 +42,8 @@ def stored_once(spark: SparkSession, scope: str, name: str, build) -> DataFrame:
     if (spark.sparkContext.applicationId, path) not in _written:
         build().write.mode("overwrite").parquet(path)
         _written.add((spark.sparkContext.applicationId, path))
-    return spark.read.parquet(path)
+    # A declared schema saves the job that reads it from the file footers.
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
 def param_scan(frame: DataFrame, query: str, **params) -> DataFrame:
