@@ -16,8 +16,8 @@ def cents(amount: str) -> str:
     return f"CAST(({amount}) * 100 AS BIGINT)"
 
 
-def from_cents(amount: str) -> str:
-    return f"CAST(CAST({amount} AS DECIMAL(18,0)) * 0.01 AS DECIMAL(16,2))"
+def from_cents(amount: str, precision: int = 16) -> str:
+    return f"CAST(CAST({amount} AS DECIMAL(18,0)) * 0.01 AS DECIMAL({precision},2))"
 
 
 def ratio(numerator: str, denominator: str) -> str:
@@ -33,6 +33,14 @@ def utc_midnight(day: Column, lag_hours=0) -> Column:
     return F.timestamp_seconds(F.unix_date(day) * F.lit(86400) + lag * F.lit(3600))
 
 
+def utc_text(stamp: str) -> str:
+    """SQL: a timestamp as UTC text, whatever the session time zone."""
+    return (
+        "CAST(TIMESTAMP_NTZ '1970-01-01 00:00:00' "
+        f"+ make_dt_interval(0, 0, 0, unix_seconds({stamp})) AS STRING)"
+    )
+
+
 def month_start(day: Column) -> Column:
     return F.trunc(day, "MM")
 

@@ -1,69 +1,72 @@
 """Loan schedules and payment splits, exact to the cent."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import installment_due_date
+from tidemark.functions.columns import cents, from_cents, installment_due_date
 from tidemark.schemas import MONEY
 
-_ROWS = "array<struct<installment_no:int,scheduled_principal:decimal(12,2),scheduled_interest:decimal(12,2)>>"
+def _interest(balance: str) -> str:
+    """SQL: a month's interest on ``balance`` cents, half a cent rounded away from zero.
 
-
-def level_payment(principal: Column, annual_rate: Column, term: Column) -> Column:
-    """Monthly payment of an annuity; principal / term when the rate is zero."""
-    amount = principal.cast("double")
-    monthly = annual_rate.cast("double") / F.lit(12.0)
-    annuity = amount * monthly / (F.lit(1.0) - F.pow(F.lit(1.0) + monthly, -term))
-    return F.when(annual_rate == 0, amount / term).otherwise(annuity).cast("decimal(18,8)")
+    Whole-number arithmetic: the yearly rate counts hundred-thousandths, so a month
+    is balance * rate / 1,200,000. ANSI mode raises if a product leaves the long range.
+    """
+    rounded = f"(abs({balance}) * rate * 2 + 1200000) DIV 2400000"
+    return f"IF({balance} < 0, -({rounded}), {rounded})"
 
 
 def amortization_schedule(loans: DataFrame) -> DataFrame:
     """Installment rows of each loan; the last row takes the remaining balance.
 
-    A narrow transformation: the balance is carried through the loan's own terms.
+    The payment is that of an annuity, or principal / term at a zero rate. A narrow
+    transformation: the balances before each period are carried through the loan's
+    own terms, everything else follows from them row by row.
     """
-    money = lambda c: c.cast(MONEY)
-    annual_rate, term, payment = F.col("annual_rate"), F.col("term_months"), F.col("_payment")
-
-    def period(state, number):
-        balance = state["balance"]
-        interest = money(balance * annual_rate / F.lit(12))
-        part = F.when(number == term, balance).otherwise(money(payment - interest))
-        row = F.struct(
-            number.alias("installment_no"),
-            part.alias("scheduled_principal"),
-            interest.alias("scheduled_interest"),
-        )
-        return F.struct(
-            money(balance - part).alias("balance"),
-            F.concat(state["rows"], F.array(row)).cast(_ROWS).alias("rows"),
-        )
-
-    start = F.struct(
-        money(F.col("principal")).alias("balance"), F.array().cast(_ROWS).alias("rows")
+    priced = loans.selectExpr(
+        "loan_id",
+        "disbursement_date",
+        "term_months",
+        f"{cents('principal')} AS principal",
+        "CAST(annual_rate * 100000 AS BIGINT) AS rate",
+        """CAST(round(CAST(CASE WHEN annual_rate = 0 THEN CAST(principal AS DOUBLE) / term_months
+            ELSE CAST(principal AS DOUBLE) * (CAST(annual_rate AS DOUBLE) / 12)
+              / (1D - pow(1D + CAST(annual_rate AS DOUBLE) / 12, -term_months))
+            END AS DECIMAL(18,8)), 2) * 100 AS BIGINT) AS payment""",
     )
-    rows = F.aggregate(F.sequence(F.lit(1), term), start, period, lambda s: s["rows"])
-    return (
-        loans.select(
-            "loan_id",
-            "principal",
-            "annual_rate",
-            "term_months",
-            "disbursement_date",
-            level_payment(F.col("principal"), annual_rate, term).alias("_payment"),
-        )
-        .select("loan_id", "disbursement_date", F.inline(rows))
-        .select(
-            (F.col("loan_id") * 100 + F.col("installment_no")).alias("installment_id"),
-            "loan_id",
-            "installment_no",
-            installment_due_date(F.col("disbursement_date"), F.col("installment_no")).alias(
-                "due_date"
-            ),
-            "scheduled_principal",
-            "scheduled_interest",
-            money(F.col("scheduled_principal") + F.col("scheduled_interest")).alias("amount_due"),
-        )
+    last = "element_at(balances, -1)"
+    balances = priced.selectExpr(
+        "*",
+        f"""posexplode(aggregate(
+            IF(term_months > 1, sequence(2, term_months), CAST(array() AS ARRAY<INT>)),
+            array(principal),
+            (balances, n) -> concat(balances, array({last} - payment + {_interest(last)}))
+        )) AS (period, balance)""",
+    )
+    rows = balances.selectExpr(
+        "loan_id",
+        "disbursement_date",
+        "period + 1 AS installment_no",
+        f"{_interest('balance')} AS interest",
+        "balance",
+        "payment",
+        "period + 1 = term_months AS is_last",
+    ).selectExpr(
+        "loan_id",
+        "disbursement_date",
+        "installment_no",
+        "interest",
+        "IF(is_last, balance, payment - interest) AS part",
+    )
+    money = lambda c: from_cents(c, precision=12)
+    return rows.select(
+        (F.col("loan_id") * 100 + F.col("installment_no")).alias("installment_id"),
+        "loan_id",
+        "installment_no",
+        installment_due_date(F.col("disbursement_date"), F.col("installment_no")).alias("due_date"),
+        F.expr(f"{money('part')} AS scheduled_principal"),
+        F.expr(f"{money('interest')} AS scheduled_interest"),
+        F.expr(f"{money('part + interest')} AS amount_due"),
     )
 
 

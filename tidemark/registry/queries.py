@@ -32,15 +32,25 @@ FULL = {
 
 
 class Tables:
-    """Newest versions of the event tables, built when a query asks for them."""
+    """Newest versions of the event tables, built when a query asks for them.
+
+    Like a daily run, queries read them as tables written once. Joins then see a
+    plain scan on both sides, so adaptive execution can split a skewed key, and
+    filters and column pruning reach the Parquet scan.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
+    def newest(self, name: str) -> DataFrame:
+        return latest_version(event_table(self.spark, self.sf_dir, name), KEYS[name])
+
     def __getattr__(self, name: str) -> DataFrame:
         if name not in KEYS:
             raise AttributeError(name)
-        return latest_version(event_table(self.spark, self.sf_dir, name), KEYS[name])
+        return storage.stored_once(
+            self.spark, self.sf_dir, f"latest_{name}", lambda: self.newest(name), EVENTS[name]
+        )
 
     def all(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in KEYS}
@@ -227,11 +237,8 @@ def run_log_upsert(t):
         F.col("total_events"),
     )
     merged = upsert.keyed_upsert(running, done, ["run_date"], keep_current=("started_at",))
-    text = lambda c: F.date_format(
-        F.to_utc_timestamp(c, F.current_timezone()), "yyyy-MM-dd HH:mm:ss"
-    ).alias(c)
-    return merged.select(
-        *[text(c) if c.endswith("_at") else F.col(c) for c in merged.columns]
+    return merged.selectExpr(
+        *[f"{C.utc_text(c)} AS {c}" if c.endswith("_at") else c for c in merged.columns]
     )
 
 
@@ -265,7 +272,7 @@ def _latest(alias, name):
     hidden = ("event_time", "ingested_at", "batch_id")
 
     def run(t):
-        return getattr(t, name).select(*[c for c in EVENTS[name].names if c not in hidden])
+        return t.newest(name).select(*[c for c in EVENTS[name].names if c not in hidden])
 
     run.__name__ = f"latest_{alias}"
     query(run)
@@ -634,9 +641,9 @@ def fn_campaign_id(t):
 @query
 def fn_ingested_at(t):
     stamp = C.utc_midnight(F.col("payment_date"), F.col("payment_id") % 48)
-    text = F.date_format(F.to_utc_timestamp(stamp, F.current_timezone()), "yyyy-MM-dd HH:mm:ss")
-    return event_table(t.spark, t.sf_dir, "payment").select(
-        "payment_id", "event_version", text.alias("ingested_at")
+    stamped = event_table(t.spark, t.sf_dir, "payment").withColumn("ingested_at", stamp)
+    return stamped.selectExpr(
+        "payment_id", "event_version", f"{C.utc_text('ingested_at')} AS ingested_at"
     )
 
 

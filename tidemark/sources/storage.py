@@ -64,7 +64,8 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
     """A table by path; an absent table is an empty one."""
     if table_exists(spark, path):
-        return spark.read.schema(schema).parquet(path)
+        # A partition column comes back last; restore the declared order.
+        return spark.read.schema(schema).parquet(path).select(*schema.names)
     return spark.createDataFrame([], schema)
 
 
