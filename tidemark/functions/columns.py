@@ -17,7 +17,7 @@ def cents(amount: str) -> str:
 
 
 def from_cents(amount: str, precision: int = 16) -> str:
-    return f"CAST(CAST({amount} AS DECIMAL(18,0)) * 0.01 AS DECIMAL({precision},2))"
+    return f"CAST(CAST({amount} AS DECIMAL(18,0)) * 0.01BD AS DECIMAL({precision},2))"
 
 
 def ratio(numerator: str, denominator: str) -> str:

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import days_past_due, month_start, months_on_book
+from tidemark.functions.columns import cents, days_past_due, from_cents, month_start, months_on_book
 from tidemark.functions.span import ReportSpan
 
 
@@ -55,53 +55,60 @@ def untouched(open_rows: DataFrame, payments: DataFrame) -> DataFrame:
 
 
 def payment_steps(payments: DataFrame, span: ReportSpan) -> DataFrame:
-    """Running paid totals per installment at each date they change within the span.
+    """Running paid totals (in cents) per installment at each date they change.
 
     Payments before the span fall on its first day, so an installment has at
-    most one row per span date however many payments it received.
+    most one row per span date however many payments it received. The totals
+    before and after each step are given.
     """
     daily = (
         payments.filter(f"payment_date <= {span.last_sql}")
         .selectExpr(
-            "installment_id", f"{span.clamp('payment_date')} AS step_date", "amount", "principal_paid"
+            "installment_id",
+            f"{span.clamp('payment_date')} AS step_date",
+            f"{cents('amount')} AS step_paid",
+            f"{cents('principal_paid')} AS step_principal",
         )
         .groupBy("installment_id", "step_date")
-        .agg(
-            F.sum("amount").alias("step_amount"),
-            F.sum("principal_paid").alias("step_principal"),
-        )
+        .agg(F.sum("step_paid").alias("step_paid"), F.sum("step_principal").alias("step_principal"))
     )
-    by_date = "OVER (PARTITION BY installment_id ORDER BY step_date)"
-    running = by_date.replace(")", " ROWS UNBOUNDED PRECEDING)")
+    by_date = "OVER (PARTITION BY installment_id ORDER BY step_date"
+    running = f"{by_date} ROWS UNBOUNDED PRECEDING)"
     return daily.selectExpr(
         "installment_id",
         "step_date",
-        f"row_number() {by_date} AS step_no",
-        f"lead(step_date) {by_date} AS next_step_date",
-        f"sum(step_amount) {running} AS amount_paid",
-        f"sum(step_principal) {running} AS principal_paid",
-        "step_amount",
-        "step_principal",
+        f"row_number() {by_date}) AS step_no",
+        f"lead(step_date) {by_date}) AS next_step_date",
+        f"sum(step_paid) {running} AS paid",
+        f"sum(step_principal) {running} AS principal",
+        f"sum(step_paid) {running} - step_paid AS paid_before",
+        f"sum(step_principal) {running} - step_principal AS principal_before",
     )
 
 
 def paid_as_of(payments: DataFrame, span: ReportSpan) -> DataFrame:
     """Paid totals per (report date, installment), counting payments up to that date."""
     if span.start == span.end:
-        return (
+        totals = (
             payments.filter(f"payment_date <= {span.last_sql}")
-            .groupBy("installment_id")
-            .agg(
-                F.sum("amount").alias("amount_paid"),
-                F.sum("principal_paid").alias("principal_paid"),
+            .selectExpr(
+                "installment_id",
+                f"{cents('amount')} AS paid",
+                f"{cents('principal_paid')} AS principal",
             )
-            .select(span.last.alias("report_date"), "*")
+            .groupBy("installment_id")
+            .agg(F.sum("paid").alias("paid"), F.sum("principal").alias("principal"))
+            .withColumn("report_date", span.last)
         )
-    return payment_steps(payments, span).selectExpr(
-        f"{span.days('step_date', 'date_sub(next_step_date, 1)')} AS report_date",
+    else:
+        totals = payment_steps(payments, span).selectExpr(
+            "*", f"{span.days('step_date', 'date_sub(next_step_date, 1)')} AS report_date"
+        )
+    return totals.selectExpr(
+        "report_date",
         "installment_id",
-        "amount_paid",
-        "principal_paid",
+        f"{from_cents('paid', 18)} AS amount_paid",
+        f"{from_cents('principal', 18)} AS principal_paid",
     )
 
 

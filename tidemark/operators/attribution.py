@@ -19,14 +19,13 @@ def join_within_days(
     lies in at most two buckets and a right row in one, so a busy key is spread
     over its buckets and only neighbouring dates are ever compared.
     """
-    width = days + 1
-    bucket = lambda day: F.floor(F.unix_date(day) / F.lit(width))
-    opening = F.col(left_date)
-    lhs = left.withColumn(
-        "_bucket",
-        F.explode(F.sequence(bucket(opening), bucket(F.date_add(opening, days)))),
+    # DIV rounds towards zero: the bucket around 1970 is twice as wide, no pair is lost.
+    bucket = lambda day: f"unix_date({day}) DIV {days + 1}"
+    last_day = f"date_add({left_date}, {days})"
+    lhs = left.selectExpr(
+        "*", f"explode(sequence({bucket(left_date)}, {bucket(last_day)})) AS _bucket"
     ).alias("lhs")
-    rhs = right.withColumn("_bucket", bucket(F.col(right_date))).alias("rhs")
+    rhs = right.selectExpr("*", f"{bucket(right_date)} AS _bucket").alias("rhs")
     on = F.col(f"rhs.{right_date}").between(
         F.col(f"lhs.{left_date}"), F.date_add(F.col(f"lhs.{left_date}"), days)
     )
@@ -86,11 +85,12 @@ def last_touch(applications: DataFrame, touches: DataFrame, days: int = 7) -> Da
             daily_touch, days_applied, CUSTOMER_CAMPAIGN, "touch_date", "application_date", days
         )
         .groupBy(*CUSTOMER_CAMPAIGN, "application_date")
-        .agg(F.max(F.struct("touch_date", "touch_id")).alias("touch"))
+        # One touch per date is left, so the newest date has a single touch.
+        .agg(
+            F.max_by("touch_id", "touch_date").alias("touch_id"),
+            F.max("touch_date").alias("touch_date"),
+        )
     )
     return tagged.join(newest, [*CUSTOMER_CAMPAIGN, "application_date"], "left").select(
-        "application_id",
-        "application_date",
-        F.col("touch.touch_id").alias("touch_id"),
-        F.col("touch.touch_date").alias("touch_date"),
+        "application_id", "application_date", "touch_id", "touch_date"
     )

@@ -28,7 +28,7 @@ def idempotent_append(
         .filter("_arrival = 1")
         .drop("_arrival")
     )
-    known = existing.select(id_col).join(first.select(id_col), id_col, "left_semi")
+    known = existing.select(id_col).join(incoming.select(id_col).distinct(), id_col, "left_semi")
     return first.join(known, id_col, "left_anti")
 
 

@@ -35,15 +35,7 @@ def _installment_phases(
     The opening phase starts with the span and includes what was paid by then;
     each later one starts at a payment and knows the totals before it.
     """
-    steps = payment_steps(payments, span).selectExpr(
-        "installment_id",
-        "step_date",
-        "step_no",
-        f"{cents('amount_paid')} AS paid",
-        f"{cents('principal_paid')} AS principal",
-        f"{cents('amount_paid - step_amount')} AS paid_before",
-        f"{cents('principal_paid - step_principal')} AS principal_before",
-    )
+    steps = payment_steps(payments, span).drop("next_step_date")
     book = installments.selectExpr(
         "installment_id",
         "loan_id",
