@@ -7,11 +7,11 @@ import pytest
 from conftest import rows
 
 from tidemark.functions.span import ReportSpan, report_span
-from tidemark.operators import ingest
+from tidemark.operators import canonical, ingest
 from tidemark.operators.canonical import latest_version
 from tidemark.operators.upsert import keyed_upsert, replace_partitions
 from tidemark.plans import exposure, jobs
-from tidemark.schemas import EVENTS, MARTS, RUN_LOG
+from tidemark.schemas import EVENTS, KEYS, MARTS, RUN_LOG
 from tidemark.sources import storage
 from tidemark.streaming import ingest as streams
 
@@ -184,6 +184,40 @@ def test_rebuild_drops_dates_that_became_empty(spark, make, tmp_path):
         jobs.rebuild(spark, root, D, D - timedelta(days=1))
 
 
+@pytest.mark.parametrize("limit", [0, 1000])
+def test_merged_newest_versions_equal_a_full_pass(make, monkeypatch, limit):
+    monkeypatch.setattr(canonical, "BROADCAST_KEYS", limit)
+    stored = make(
+        "customer",
+        *[dict(customer_id=n, event_version=2, risk_score=n) for n in range(1, 30)],
+    )
+    new = make(
+        "customer",
+        dict(customer_id=3, event_version=3, risk_score=999),
+        dict(customer_id=4, event_version=1, risk_score=888),
+        dict(customer_id=77, risk_score=777),
+        dict(customer_id=77, event_version=2, risk_score=778),
+    )
+    merged = canonical.merge_latest(stored, new, "customer_id", 4)
+    assert rows(merged) == rows(latest_version(stored.unionByName(new), "customer_id"))
+
+
+def test_a_broken_run_is_followed_by_a_full_rebuild(spark, make, tmp_path, monkeypatch):
+    root = str(tmp_path / "lake")
+    jobs.load_events(spark, root, batch(make))
+    fixed = dict(payment=make("payment", dict(event_version=2, amount=99)))
+    with monkeypatch.context() as broken:
+        broken.setattr(jobs, "merge_latest", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            jobs.load_events(spark, root, fixed)
+    assert jobs.load_events(spark, root, fixed) == 0
+    newest = jobs.canonical_tables(spark, root)
+    assert rows(newest["payment"], "event_version", "amount") == [(2, 99)]
+    raw = {name: jobs.raw_table(spark, root, name) for name in KEYS}
+    for name, key in KEYS.items():
+        assert rows(newest[name]) == rows(latest_version(raw[name], key))
+
+
 # -- streams --------------------------------------------------------------------------
 def test_stream_deduplicates_across_micro_batches(spark, make, tmp_path):
     landing, sink = str(tmp_path / "in"), str(tmp_path / "out")

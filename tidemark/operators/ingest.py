@@ -29,7 +29,7 @@ def idempotent_append(
         .drop("_arrival")
     )
     known = existing.select(id_col).join(incoming.select(id_col).distinct(), id_col, "left_semi")
-    return first.join(known, id_col, "left_anti")
+    return first.join(known, id_col, "left_anti").select(*incoming.columns)
 
 
 def quarantine(

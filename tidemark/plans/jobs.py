@@ -1,17 +1,19 @@
 """Daily run, range rebuild, validation and export over a folder of tables.
 
-Layout below ``root``: ``raw/<table>`` append-only events, ``staging/<table>``
-newest versions, ``mart/<table>`` partitioned by report date, ``audit/<table>``.
-One writer per root is assumed.
+Layout below ``root``: ``raw/<table>`` append-only events, ``staging`` the newest
+versions with ``staging/current`` listing them, ``mart/<table>`` partitioned by
+report date, ``audit/<table>``. One writer per root is assumed.
 """
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import UTC, date, datetime
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.span import ReportSpan, report_span, single
-from tidemark.operators.canonical import latest_version
+from tidemark.operators.canonical import latest_version, merge_latest
 from tidemark.operators.ingest import (
     backfill_touch_date,
     idempotent_append,
@@ -22,8 +24,24 @@ from tidemark.operators.quality import all_checks, dq_summary, gate
 from tidemark.operators.upsert import keyed_upsert
 from tidemark.plans.acquisition import campaign_kpi, credit_kpi
 from tidemark.plans.exposure import exposure_ledger, portfolio_from_changes, vintage_from_changes
-from tidemark.schemas import AUDIT, DQ_SUMMARY, EVENTS, KEYS, MARTS, REJECTED_EVENTS, RUN_LOG, conform
-from tidemark.sources.storage import append, export_csv, overwrite_partitions, read_table
+from tidemark.schemas import (
+    AUDIT,
+    DQ_SUMMARY,
+    EVENTS,
+    KEYS,
+    MARTS,
+    REJECTED_EVENTS,
+    RUN_LOG,
+    conform,
+)
+from tidemark.sources.storage import (
+    append,
+    delete_folder,
+    export_csv,
+    overwrite_partitions,
+    read_table,
+    table_exists,
+)
 
 # Total orders, so an export has the same rows in the same order every time.
 EXPORT_ORDER = {
@@ -34,6 +52,9 @@ EXPORT_ORDER = {
 }
 
 
+_CURRENT = "name string, path string"
+
+
 class RunFailure(RuntimeError):
     pass
 
@@ -47,25 +68,78 @@ def mart_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return backfill_touch_date(mart) if name == "daily_campaign_kpi" else mart
 
 
+def _in_parallel(tasks: list) -> list:
+    """Run independent Spark writes at the same time; the first error is raised."""
+    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+        return [done.result() for done in [pool.submit(task) for task in tasks]]
+
+
+def _canonical_paths(spark: SparkSession, root: str) -> dict[str, str]:
+    """Where the newest versions of each table are; empty when they must be rebuilt."""
+    path = f"{root}/staging/current"
+    if not table_exists(spark, path):
+        return {}
+    return {row.name: row.path for row in spark.read.schema(_CURRENT).parquet(path).collect()}
+
+
 def load_events(spark: SparkSession, root: str, batch: dict[str, DataFrame]) -> int:
-    """Append the unseen events of a batch, parents first; returns the rows added."""
-    loaded = 0
+    """Append the unseen events of a batch and bring the newest versions up to date.
+
+    Parents are appended first; returns the rows added. Tables without new rows keep
+    their newest versions as they are. The list of current tables is taken away
+    while files change, so a broken run is followed by a full rebuild from ``raw``.
+    """
+    paths = _canonical_paths(spark, root)
+    delete_folder(spark, f"{root}/staging/current")
+    version = uuid4().hex[:12]
+    added = {}
     for name in KEYS:
         if name in batch:
             incoming = conform(batch[name], EVENTS[name])
-            new = idempotent_append(raw_table(spark, root, name), incoming)
-            loaded += append(new, f"{root}/raw/{name}")
-    return loaded
+            landed = f"{root}/staging/incoming-{version}/{name}"
+            added[name] = append(
+                idempotent_append(raw_table(spark, root, name), incoming), landed
+            )
+            if added[name]:
+                new = read_table(spark, landed, EVENTS[name])
+                new.write.mode("append").parquet(f"{root}/raw/{name}")
+
+    def bring_up_to_date(name):
+        if name in paths and not added.get(name):
+            return name, paths[name]
+        target = f"{root}/staging/{name}-{version}"
+        if name in paths:
+            landed = f"{root}/staging/incoming-{version}/{name}"
+            newest = merge_latest(
+                read_table(spark, paths[name], EVENTS[name]),
+                read_table(spark, landed, EVENTS[name]),
+                KEYS[name],
+                added[name],
+            )
+        else:
+            newest = latest_version(raw_table(spark, root, name), KEYS[name])
+        newest.write.parquet(target)
+        return name, target
+
+    current = dict(
+        _in_parallel([lambda name=name: bring_up_to_date(name) for name in KEYS])
+    )
+    spark.createDataFrame(list(current.items()), _CURRENT).coalesce(1).write.parquet(
+        f"{root}/staging/current"
+    )
+    delete_folder(spark, f"{root}/staging/incoming-{version}")
+    for name, path in paths.items():
+        if current[name] != path:
+            delete_folder(spark, path)
+    return sum(added.values())
 
 
-def write_canonical(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """Write the newest versions once; checks and marts all read these tables."""
-    tables = {}
-    for name, key in KEYS.items():
-        path = f"{root}/staging/{name}"
-        latest_version(raw_table(spark, root, name), key).write.mode("overwrite").parquet(path)
-        tables[name] = read_table(spark, path, EVENTS[name])
-    return tables
+def canonical_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The stored newest versions, rebuilt first if a broken run left none."""
+    if not _canonical_paths(spark, root):
+        load_events(spark, root, {})
+    paths = _canonical_paths(spark, root)
+    return {name: read_table(spark, paths[name], EVENTS[name]) for name in KEYS}
 
 
 def refresh_marts(
@@ -93,10 +167,15 @@ def refresh_marts(
             frames["daily_portfolio_kpi"] = portfolio_from_changes(ledger, span)
         if "vintage_kpi" in marts:
             frames["vintage_kpi"] = vintage_from_changes(ledger, span)
-    return {
-        name: overwrite_partitions(df, f"{root}/mart/{name}", "report_date", span.dates)
-        for name, df in frames.items()
-    }
+    counts = _in_parallel(
+        [
+            lambda name=name, df=df: overwrite_partitions(
+                df, f"{root}/mart/{name}", "report_date", span.dates
+            )
+            for name, df in frames.items()
+        ]
+    )
+    return dict(zip(frames, counts, strict=True))
 
 
 def _log_run(spark, root, report_date, status, loaded=0, rejected=0, error=None, restart=False):
@@ -164,7 +243,7 @@ def run(
     )
     span = report_span(report_date, lookback)
     if previous and previous.status == "success":
-        refresh_marts(write_canonical(spark, root), root, span)
+        refresh_marts(canonical_tables(spark, root), root, span)
         return {
             "status": "success",
             "loaded": previous.rows_loaded,
@@ -184,7 +263,7 @@ def run(
                 conform(rejects, REJECTED_EVENTS), f"{root}/audit/rejected_events"
             )
         loaded = load_events(spark, root, batch)
-        tables = write_canonical(spark, root)
+        tables = canonical_tables(spark, root)
         checks = _record_checks(spark, root, report_date, all_checks(tables, report_date))
         verdict = gate(checks).first()
         if verdict.status == "success":
@@ -201,13 +280,12 @@ def run(
 
 def rebuild(spark: SparkSession, root: str, start: date, end: date) -> dict[str, int]:
     """Rebuild all marts for every date of a range in one pass."""
-    return refresh_marts(write_canonical(spark, root), root, ReportSpan(start, end))
+    return refresh_marts(canonical_tables(spark, root), root, ReportSpan(start, end))
 
 
 def validate(spark: SparkSession, root: str, report_date: date) -> DataFrame:
     """The six checks over the stored events; nothing is recorded."""
-    tables = {name: latest_version(raw_table(spark, root, name), key) for name, key in KEYS.items()}
-    return all_checks(tables, report_date)
+    return all_checks(canonical_tables(spark, root), report_date)
 
 
 def export(spark: SparkSession, root: str, report_date: date, target: str) -> dict[str, int]:

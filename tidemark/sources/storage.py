@@ -61,6 +61,11 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, target = _hadoop(spark, path)
+    fs.delete(target, True)
+
+
 def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
     """A table by path; an absent table is an empty one."""
     if table_exists(spark, path):
@@ -104,8 +109,7 @@ def overwrite_partitions(df: DataFrame, path: str, partition_col: str, affected)
     filled = set(seen.get["filled"])
     for value in affected:
         if str(value) not in filled:
-            fs, folder = _hadoop(spark, f"{path}/{partition_col}={value}")
-            fs.delete(folder, True)
+            delete_folder(spark, f"{path}/{partition_col}={value}")
     return seen.get["rows"]
 
 
