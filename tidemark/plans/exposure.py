@@ -9,6 +9,8 @@ sums over them give the snapshot of every report date, so a rebuild of years cos
 one pass over the installments, like a single day.
 """
 
+from itertools import pairwise
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,25 +46,22 @@ def _installment_phases(
         f"{cents('amount_due')} AS due",
     ).join(steps, "installment_id", "left")
 
-    def phase(since, paid, principal, paid_before, principal_before, opening):
-        return (
-            f"named_struct('since', {since}, 'paid', {paid}, 'principal', {principal}, "
-            f"'paid_before', {paid_before}, 'principal_before', {principal_before}, "
-            f"'opening', {opening})"
-        )
-
-    unpaid = phase(span.first_sql, "0L", "0L", "0L", "0L", "true")
-    partly_paid = phase(span.first_sql, "paid", "principal", "0L", "0L", "true")
-    payment = phase("step_date", "paid", "principal", "paid_before", "principal_before", "false")
-    return book.selectExpr(
+    # Kinds of phase: 0 opens unpaid, 1 starts at a payment, 2 opens with payments.
+    kinds = f"""explode(CASE WHEN step_date IS NULL THEN array(0)
+        WHEN step_no > 1 THEN array(1)
+        WHEN step_date = {span.first_sql} THEN array(2)
+        ELSE array(0, 1) END) AS kind"""
+    return book.selectExpr("*", kinds).selectExpr(
         "loan_id",
         "due_date",
         "scheduled",
         "due",
-        f"""inline(CASE WHEN step_date IS NULL THEN array({unpaid})
-            WHEN step_no > 1 THEN array({payment})
-            WHEN step_date = {span.first_sql} THEN array({partly_paid})
-            ELSE array({unpaid}, {payment}) END)""",
+        "kind <> 1 AS opening",
+        f"IF(kind = 1, step_date, {span.first_sql}) AS since",
+        "IF(kind = 0, 0L, paid) AS paid",
+        "IF(kind = 0, 0L, principal) AS principal",
+        "paid_before",
+        "principal_before",
     )
 
 
@@ -86,7 +85,11 @@ def _installment_changes(
         "paid_before < due AS short_before",
     )
     late_dates = [f"late_{k}" for k in BUCKETS]
-    moments = ", ".join(["since", "falls_due", *late_dates])
+    # The dates never decrease, so a repeated one equals its predecessor.
+    ordered = ["since", "falls_due", *late_dates]
+    moments = ", ".join(
+        [ordered[0], *[f"IF({b} > {a}, {b}, NULL)" for a, b in pairwise(ordered)]]
+    )
     signed = levels.selectExpr(
         "loan_id",
         "since",
@@ -99,7 +102,7 @@ def _installment_changes(
         "capped - IF(opening, 0L, capped_before) AS paid_value",
         "IF(short, remaining, 0L) - IF(NOT opening AND short_before, remaining_before, 0L) "
         "AS late_value",
-        f"explode(array_distinct(array({moments}))) AS change_date",
+        f"explode(array({moments})) AS change_date",
     ).filter(f"change_date <= {span.last_sql}")
 
     def on(day, value, name):
