@@ -185,10 +185,12 @@ def test_open_installments_ignore_payment_dates(make):
     assert rows(asof.untouched(got, payments), "installment_id") == [(4,)]
 
 
-def test_span_rejects_reversed_bounds():
+def test_span_has_both_ends_and_rejects_reversed_bounds(spark):
     with pytest.raises(ValueError):
         ReportSpan(D, before(1))
     assert len(report_span(D).dates) == 46
+    frame = report_span(D).frame(spark)
+    assert [r[0] for r in frame.orderBy("report_date").collect()] == report_span(D).dates
 
 
 # -- schedules ------------------------------------------------------------------

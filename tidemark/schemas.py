@@ -111,7 +111,7 @@ EVENTS = {
     ),
 }
 
-# Business key and business date of each event table, parents first.
+# Business key of each event table, parents first.
 KEYS = {
     "customer": "customer_id",
     "marketing_touch": "touch_id",

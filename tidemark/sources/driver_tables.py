@@ -2,7 +2,8 @@
 
 Orders act as applications and touches, finished orders as loans, their line
 items as installments and payments. Keys ending in 3 also get an older, wrong
-version that the canonical views must drop.
+version that the canonical views must drop. The modulo rules give the rows their
+roles (channel, rejected, without loan); every row of the tables takes part.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
