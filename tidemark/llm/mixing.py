@@ -16,8 +16,8 @@ from tidemark.llm.shared import SPACES, cut, ship
 
 #: Rows that one flight takes at most in the mean; leftovers of that many blocks meet in the next flight.
 BLOCK = 20_000
-#: Smallest open items of a source that are kept for the landing.
-LANDING = 10
+#: Open items of a source, of all sizes, that are kept for the landing.
+LANDING = 12
 
 
 def word_count(text):
@@ -86,15 +86,18 @@ def _land(p: list[float], size: list[float], held: list[int]) -> None:
 
 def _flight(last: bool):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        # small documents come last, so those that stay open, and the landing's error, are small
         rows = rows.sort_values(["size", "order", "unit"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
         p, size = rows["p"].tolist(), rows["size"].astype(float).tolist()
-        head = max(0, len(p) - LANDING) if last else len(p)
-        tail, p = p[head:], p[:head]
-        held = _fly(p, size, random.Random(zlib.crc32(repr((int(key[0]), int(key[1]), len(rows))).encode())))
-        p += tail
+        # items of all sizes wait for the landing, so that their sums come near any total
+        waiting = sorted({len(p) * i // LANDING for i in range(LANDING)}) if last and p else []
+        kept = [p[i] for i in waiting]
+        for i in waiting:
+            p[i] = 0.0
+        held = _fly(p, size, random.Random(zlib.crc32(repr((int(key[0]), int(key[1]), len(p))).encode())))
+        for i, x in zip(waiting, kept, strict=True):
+            p[i] = x
         if last:
-            _land(p, size, [*held, *range(head, len(p))])
+            _land(p, size, [*held, *waiting])
         return rows.assign(p=p)[["unit", "source_no", "size", "order", "p"]]
 
     return run
