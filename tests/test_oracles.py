@@ -5,8 +5,9 @@ import pytest
 from conftest import SF_DIR
 
 import __spark_entry__ as contract
+from tidemark.registry import oracles, queries
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = queries.QUERIES, oracles.oracle_sql()
 TABLES = ["customer", "orders", "lineitem", "events"]
 
 
@@ -26,6 +27,8 @@ def _normal(value):
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(contract.queries())
+    assert SQL.items() <= contract.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

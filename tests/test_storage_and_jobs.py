@@ -1,10 +1,11 @@
 """Appends, upserts, partition replacement, the daily run and the streams."""
 
 import json
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from tidemark.functions.span import ReportSpan, report_span
 from tidemark.operators import canonical, ingest
@@ -12,7 +13,7 @@ from tidemark.operators.canonical import latest_version
 from tidemark.operators.upsert import keyed_upsert, replace_partitions
 from tidemark.plans import exposure, jobs
 from tidemark.schemas import EVENTS, KEYS, MARTS, RUN_LOG
-from tidemark.sources import storage
+from tidemark.sources import storage, versions
 from tidemark.streaming import ingest as streams
 
 D = date(2026, 2, 10)
@@ -23,7 +24,7 @@ def test_append_twice_adds_nothing_and_first_duplicate_wins(make):
     batch = make(
         "customer",
         dict(customer_id=1, risk_score=1),
-        dict(customer_id=1, risk_score=2, ingested_at=__import__("datetime").datetime(2027, 1, 1)),
+        dict(customer_id=1, risk_score=2, ingested_at=datetime(2027, 1, 1)),
         dict(customer_id=2),
     )
     empty = make("customer", {}).limit(0)
@@ -184,9 +185,7 @@ def test_rebuild_drops_dates_that_became_empty(spark, make, tmp_path):
         jobs.rebuild(spark, root, D, D - timedelta(days=1))
 
 
-@pytest.mark.parametrize("limit", [0, 1000])
-def test_merged_newest_versions_equal_a_full_pass(make, monkeypatch, limit):
-    monkeypatch.setattr(canonical, "BROADCAST_KEYS", limit)
+def test_merged_newest_versions_equal_a_full_pass(make):
     stored = make(
         "customer",
         *[dict(customer_id=n, event_version=2, risk_score=n) for n in range(1, 30)],
@@ -198,36 +197,142 @@ def test_merged_newest_versions_equal_a_full_pass(make, monkeypatch, limit):
         dict(customer_id=77, risk_score=777),
         dict(customer_id=77, event_version=2, risk_score=778),
     )
-    merged = canonical.merge_latest(stored, new, "customer_id", 4)
+    merged = canonical.merge_latest(stored, new, "customer_id")
     assert rows(merged) == rows(latest_version(stored.unionByName(new), "customer_id"))
 
 
-def test_a_broken_run_is_followed_by_a_full_rebuild(spark, make, tmp_path, monkeypatch):
+def newest_equal_raw(spark, root):
+    newest = jobs.canonical_tables(spark, root)
+    for name, key in KEYS.items():
+        assert rows(newest[name]) == rows(latest_version(jobs.raw_table(spark, root, name), key))
+    return newest
+
+
+def test_a_broken_load_changes_nothing(spark, make, tmp_path, monkeypatch):
     root = str(tmp_path / "lake")
     jobs.load_events(spark, root, batch(make))
+    before = versions.current(spark, root)
     fixed = dict(payment=make("payment", dict(event_version=2, amount=99)))
     with monkeypatch.context() as broken:
         broken.setattr(jobs, "merge_latest", lambda *_: 1 / 0)
         with pytest.raises(ZeroDivisionError):
             jobs.load_events(spark, root, fixed)
-    assert jobs.load_events(spark, root, fixed) == 0
-    newest = jobs.canonical_tables(spark, root)
-    assert rows(newest["payment"], "event_version", "amount") == [(2, 99)]
-    raw = {name: jobs.raw_table(spark, root, name) for name in KEYS}
-    for name, key in KEYS.items():
-        assert rows(newest[name]) == rows(latest_version(raw[name], key))
+    assert versions.current(spark, root) == before
+    assert jobs.load_events(spark, root, fixed) == 1
+    assert rows(newest_equal_raw(spark, root)["payment"], "event_version", "amount") == [(2, 99)]
+    # what the broken load left behind is gone, and the folders before the last two lists
+    left = {p.name for p in (tmp_path / "lake" / "raw" / "payment").iterdir() if p.is_dir()}
+    named = {p.split("/")[2] for (t, _), p in versions.current(spark, root).items() if t == "raw/payment"}
+    assert left == named
+
+
+def test_a_retry_counts_once(spark, make, tmp_path, monkeypatch):
+    root = str(tmp_path / "lake")
+    with monkeypatch.context() as broken:
+        broken.setattr(jobs, "all_checks", lambda *_: 1 / 0)
+        with pytest.raises(jobs.RunFailure):
+            jobs.run(spark, root, batch(make), D, lookback=0)
+    assert jobs.raw_table(spark, root, "payment").count() == 0
+    assert jobs.run(spark, root, batch(make), D, lookback=0)["loaded"] == 6
+    (log,) = run_log(spark, root)
+    assert (log.status, log.rows_loaded, log.rows_rejected) == ("success", 6, 1)
+    assert spark.read.parquet(f"{root}/audit/rejected_events").count() == 1
+
+
+@pytest.mark.parametrize("column", ["source_event_id", "payment_id", "amount"])
+def test_a_batch_with_missing_values_is_refused(spark, make, tmp_path, column):
+    root = str(tmp_path / "lake")
+    jobs.load_events(spark, root, batch(make))
+    before = versions.current(spark, root)
+    whole = make("payment", *[dict(payment_id=n) for n in (11, 12, 13)])
+    holed = whole.withColumn(column, F.lit(None).cast(whole.schema[column].dataType))
+    with pytest.raises(ValueError, match=f"payment events without a value: {column} in 3 rows"):
+        jobs.load_events(spark, root, dict(payment=holed, customer=make("customer", dict(customer_id=9))))
+    assert versions.current(spark, root) == before
+
+
+def test_a_small_batch_writes_one_part(spark, make, tmp_path):
+    root = str(tmp_path / "lake")
+    many = make("payment", *[dict(payment_id=n, payment_date=D) for n in range(1, 200)])
+    jobs.load_events(spark, root, dict(payment=many))
+    before = versions.current(spark, root)
+    jobs.load_events(spark, root, dict(payment=make("payment", dict(payment_id=7, event_version=2))))
+    after = versions.current(spark, root)
+    changed = {k for k in after if after[k] != before.get(k) and k[0] == "newest/payment"}
+    assert len(changed) == 1 and len({k for k in before if k[0] == "newest/payment"}) > 10
+    newest_equal_raw(spark, root)
+
+
+def test_a_correction_may_move_to_another_month(spark, make, tmp_path):
+    root = str(tmp_path / "lake")
+    jobs.load_events(spark, root, dict(application=make("application", dict(application_date=D))))
+    moved = make("application", dict(event_version=2, application_date=date(2025, 11, 3)))
+    jobs.load_events(spark, root, dict(application=moved))
+    assert [k[1] for k in versions.current(spark, root) if k[0] == "newest/application"] == ["2025-11"]
+    newest_equal_raw(spark, root)
+
+
+def test_recent_months_alone_are_read(spark, make, tmp_path):
+    root = str(tmp_path / "lake")
+    days = [D - timedelta(days=30 * n) for n in range(8)]
+    jobs.load_events(spark, root, dict(application=make("application", *[dict(application_id=n, application_date=d) for n, d in enumerate(days, 1)])))
+    table = jobs.canonical_tables(spark, root, span=report_span(D, 0))["application"]
+    assert rows(table, "application_date") == [(d,) for d in sorted(days[:2])]
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(part" in plan
+
+
+def test_marts_are_published_together(spark, make, tmp_path, monkeypatch):
+    root = str(tmp_path / "lake")
+    jobs.run(spark, root, batch(make), D, lookback=0)
+    published = marts(spark, root)
+    jobs.load_events(spark, root, dict(payment=make("payment", dict(event_version=2, payment_date=D, amount=110))))
+    with monkeypatch.context() as broken:
+        broken.setattr(jobs, "vintage_from_changes", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            jobs.rebuild(spark, root, D, D)
+    assert marts(spark, root) == published
+    jobs.rebuild(spark, root, D, D)
+    assert marts(spark, root) != published
+
+
+def test_validation_writes_nothing(spark, make, tmp_path):
+    root = tmp_path / "lake"
+    jobs.load_events(spark, str(root), batch(make))
+    before = sorted(map(str, root.rglob("*")))
+    assert jobs.validate(spark, str(root), D).count() == 6
+    assert sorted(map(str, root.rglob("*"))) == before
+
+
+def test_backfill_stops_at_the_first_failure(spark, make, tmp_path):
+    root = str(tmp_path / "lake")
+    bad = D + timedelta(days=1)
+
+    def batch_of(day):
+        if day == D:
+            return batch(make)
+        return dict(payment=make("payment", dict(payment_id=50, installment_id=99)))
+
+    with pytest.raises(jobs.RunFailure, match=f"backfill stopped on {bad}"):
+        jobs.backfill(spark, root, batch_of, D, D + timedelta(days=2))
+    assert {r.run_date: r.status for r in run_log(spark, root)} == {D: "success", bad: "failed_quality"}
+    done = jobs.backfill(spark, str(tmp_path / "other"), lambda day: batch(make) if day == D else {}, D, bad)
+    assert [r["loaded"] for r in done] == [6, 0]
+    days = rows(jobs.mart_table(spark, str(tmp_path / "other"), "daily_portfolio_kpi"), "report_date")
+    assert days == [(D,), (bad,)]
 
 
 # -- streams --------------------------------------------------------------------------
-def test_stream_deduplicates_across_micro_batches(spark, make, tmp_path):
+def test_stream_keeps_each_event_once_however_late(spark, make, tmp_path):
     landing, sink = str(tmp_path / "in"), str(tmp_path / "out")
-    payments = make("payment", *[dict(payment_id=n) for n in range(1, 6)])
-    for _ in range(2):
-        payments.coalesce(1).write.mode("append").parquet(landing)
+    summer = make("payment", *[dict(payment_id=n, ingested_at=datetime(2026, 6, 1)) for n in range(1, 6)])
+    winter = make("payment", dict(payment_id=6, ingested_at=datetime(2026, 1, 1)))
+    for frame in (summer, summer, winter):
+        frame.coalesce(1).write.mode("append").parquet(landing)
         streams.stream_ingest(
-            spark, landing, EVENTS["payment"], sink, str(tmp_path / "check"), "40 days"
+            spark, landing, EVENTS["payment"], sink, str(tmp_path / "check"), max_files=1
         )
-    assert rows(spark.read.parquet(sink), "payment_id") == [(n,) for n in range(1, 6)]
+    assert rows(spark.read.parquet(sink), "payment_id") == [(n,) for n in range(1, 7)]
 
 
 def test_stream_refresh_equals_batch(spark, make, tmp_path):
@@ -243,15 +348,10 @@ def test_stream_refresh_equals_batch(spark, make, tmp_path):
     )
     payments.repartition(3).write.parquet(landing)
     span = report_span(D + timedelta(days=10), 12)
-    handle = streams.refresh_batch(
-        root,
-        "payment",
-        span,
-        {"installment": installments, "loan": loans},
-        ("daily_portfolio_kpi", "vintage_kpi"),
-    )
+    jobs.load_events(spark, root, {"installment": installments, "loan": loans})
+    handle = streams.refresh_batch(root, "payment", span, ("daily_portfolio_kpi", "vintage_kpi"))
     stream = streams.event_stream(spark, landing, EVENTS["payment"], max_files=1)
-    streams.stream_refresh(stream, handle, str(tmp_path / "check"))
+    streams.run_available(stream, handle, str(tmp_path / "check"))
     newest = latest_version(payments, "payment_id")
     assert rows(jobs.mart_table(spark, root, "daily_portfolio_kpi")) == rows(
         exposure.portfolio_kpi(installments, loans, newest, span)
@@ -263,3 +363,19 @@ def test_stream_refresh_equals_batch(spark, make, tmp_path):
     handle(payments, 99)
     assert jobs.raw_table(spark, root, "payment").count() == 6
     assert isinstance(span, ReportSpan)
+
+
+def test_streamed_rows_stay_in_later_runs(spark, make, tmp_path):
+    root = str(tmp_path / "lake")
+    jobs.run(spark, root, batch(make), D, lookback=0)
+    better = make("payment", dict(event_version=2, payment_date=D, amount=110, principal_paid=100))
+    streams.refresh_batch(root, "payment", report_span(D, 0))(better, 0)
+
+    def paid():
+        return rows(jobs.mart_table(spark, root, "daily_portfolio_kpi"), "report_date", "amount_paid")
+
+    assert paid() == [(D, 110)]
+    later = D + timedelta(days=1)
+    assert jobs.run(spark, root, dict(payment=better), later, lookback=1)["loaded"] == 0
+    assert paid() == [(D, 110), (later, 110)]
+    newest_equal_raw(spark, root)

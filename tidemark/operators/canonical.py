@@ -23,21 +23,11 @@ def latest_version(
     return ranked.filter("_rank = 1").drop("_rank")
 
 
-# Keys of a batch that are broadcast: 8-byte keys, at most about 100 MB as a hash table.
-BROADCAST_KEYS = 4_000_000
 
-
-def merge_latest(current: DataFrame, new: DataFrame, key: str, new_rows: int) -> DataFrame:
-    """Newest versions after ``new`` events (``new_rows`` of them) join ``current``.
+def merge_latest(current: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """Newest versions after ``new`` events join ``current``.
 
     The newest of everything is the newest of the stored newest and the new rows.
-    For a batch of bounded size the stored rows it does not touch are only filtered
-    by a broadcast of its keys and never shuffled; a larger batch is ranked together
-    with the stored rows.
+    Callers hand in only the stored partitions that the batch touches.
     """
-    if new_rows > BROADCAST_KEYS:
-        return latest_version(current.unionByName(new), key)
-    keys = F.broadcast(new.select(key).distinct())
-    untouched = current.join(keys, key, "left_anti").select(*current.columns)
-    touched = current.join(keys, key, "left_semi").select(*current.columns)
-    return untouched.unionByName(latest_version(touched.unionByName(new), key))
+    return latest_version(current.unionByName(new), key)

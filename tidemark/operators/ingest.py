@@ -62,6 +62,12 @@ def negative_request_rule() -> dict[str, Column]:
     return {"negative requested amount": F.col("requested_amount") < 0}
 
 
+def null_counts(rows: DataFrame, columns: list[str]) -> dict[str, int]:
+    """Columns of the list that hold NULLs, with how many; one aggregate for all of them."""
+    missing = rows.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
+    return {c: missing[c] for c in columns if missing[c]}
+
+
 def backfill_touch_date(campaign_mart: DataFrame) -> DataFrame:
     """Campaign rows written before the touch date existed take their report date."""
     if "touch_date" not in campaign_mart.columns:

@@ -118,7 +118,9 @@ def volume_spikes(applications: DataFrame, span: ReportSpan, factor="5") -> Data
 
 
 def check_volume_spike(frames, report_date: date, factor="5") -> DataFrame:
-    spikes = volume_spikes(frames["application"], single(report_date), factor)
+    # a caller may hand in the recent applications alone, which a pruned scan yields
+    recent = frames.get("recent_application", frames["application"])
+    spikes = volume_spikes(recent, single(report_date), factor)
     return _total(spikes, "value")
 
 

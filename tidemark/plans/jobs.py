@@ -1,23 +1,27 @@
-"""Daily run, range rebuild, validation and export over a folder of tables.
+"""Daily run, backfill, range rebuild, validation and export over a folder of tables.
 
-Layout below ``root``: ``raw/<table>`` append-only events, ``staging`` the newest
-versions with ``staging/current`` listing them, ``mart/<table>`` partitioned by
-report date, ``audit/<table>``. One writer per root is assumed.
+Tables below ``root`` are versioned folders (see :mod:`tidemark.sources.versions`):
+``raw/<table>`` append-only events, one part for each load; ``newest/<table>`` the newest
+version of each key, by month of the business date or by a hash of the key;
+``mart/<table>`` by report date. ``audit/<table>`` are plain tables. One writer per root
+is assumed.
 """
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from datetime import UTC, date, datetime
+from datetime import UTC, date, datetime, timedelta
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.span import ReportSpan, report_span, single
-from tidemark.operators.canonical import latest_version, merge_latest
+from tidemark.operators.canonical import merge_latest
 from tidemark.operators.ingest import (
     backfill_touch_date,
     idempotent_append,
     negative_request_rule,
+    null_counts,
     quarantine,
 )
 from tidemark.operators.quality import all_checks, dq_summary, gate
@@ -34,13 +38,13 @@ from tidemark.schemas import (
     RUN_LOG,
     conform,
 )
+from tidemark.sources import versions
 from tidemark.sources.storage import (
     append,
     delete_folder,
     export_csv,
     overwrite_partitions,
     read_table,
-    table_exists,
 )
 
 # Total orders, so an export has the same rows in the same order every time.
@@ -51,133 +55,201 @@ EXPORT_ORDER = {
     "vintage_kpi": ["origination_month", "months_on_book"],
 }
 
-
-_CURRENT = "name string, path string"
+# Tables whose newest versions are kept by month of a date; the others by a hash of the key.
+BY_MONTH = {"marketing_touch": "touch_date", "application": "application_date"}
+BUCKETS = 64
 
 
 class RunFailure(RuntimeError):
     pass
 
 
-def raw_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return read_table(spark, f"{root}/raw/{name}", EVENTS[name])
+def _version() -> str:
+    return uuid4().hex[:12]
+
 
+def raw_table(spark: SparkSession, root: str, name: str, entries=None) -> DataFrame:
+    entries = versions.current(spark, root) if entries is None else entries
+    return versions.read(spark, root, entries, f"raw/{name}", EVENTS[name])
 
-def mart_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    mart = read_table(spark, f"{root}/mart/{name}", MARTS[name])
+
+def mart_table(spark: SparkSession, root: str, name: str, entries=None) -> DataFrame:
+    entries = versions.current(spark, root) if entries is None else entries
+    mart = versions.read(spark, root, entries, f"mart/{name}", MARTS[name])
     return backfill_touch_date(mart) if name == "daily_campaign_kpi" else mart
 
 
 def _in_parallel(tasks: list) -> list:
     """Run independent Spark writes at the same time; the first error is raised."""
-    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+    with ThreadPoolExecutor(max_workers=max(1, len(tasks))) as pool:
         return [done.result() for done in [pool.submit(task) for task in tasks]]
 
 
-def _canonical_paths(spark: SparkSession, root: str) -> dict[str, str]:
-    """Where the newest versions of each table are; empty when they must be rebuilt."""
-    path = f"{root}/staging/current"
-    if not table_exists(spark, path):
-        return {}
-    return {row.name: row.path for row in spark.read.schema(_CURRENT).parquet(path).collect()}
+def _part_of(name: str):
+    """The part in which the newest version of a row is kept."""
+    if name in BY_MONTH:
+        return F.date_format(BY_MONTH[name], "yyyy-MM")
+    return F.pmod(F.xxhash64(KEYS[name]), F.lit(BUCKETS)).cast("string")
+
+
+def checked(name: str, frame: DataFrame) -> DataFrame:
+    """The batch rows in the declared schema; refused if a declared value is missing."""
+    rows = conform(frame, EVENTS[name])
+    missing = null_counts(rows, [f.name for f in EVENTS[name] if not f.nullable])
+    if missing:
+        told = ", ".join(f"{column} in {n} rows" for column, n in sorted(missing.items()))
+        raise ValueError(f"{name} events without a value: {told}")
+    return rows
+
+
+def stage_events(
+    spark: SparkSession, root: str, entries: versions.Entries, batch: dict[str, DataFrame]
+) -> tuple[int, versions.Entries]:
+    """Write the unseen events of a batch and the newest versions they change.
+
+    Returns the rows added and the entries with the new folders; nothing is current yet.
+    All tables are checked before anything is written. Only the parts that hold a key
+    of the batch are ranked and written again.
+    """
+    batch = {name: checked(name, batch[name]) for name in KEYS if name in batch}
+    version = _version()
+
+    def load(name):
+        unseen = idempotent_append(raw_table(spark, root, name, entries), batch[name])
+        added, raw = versions.stage(unseen, root, f"raw/{name}", version)
+        if not added:
+            return name, 0, {}, {}, set()
+        new = raw_table(spark, root, name, {(f"raw/{name}", v): p for v, p in raw.items()})
+        stored = _newest(spark, root, name, entries)
+        placed = new.withColumn("part", _part_of(name))
+        touched = {r["part"] for r in placed.select("part").distinct().collect()}
+        if name in BY_MONTH:
+            # a correction may move a row to another month
+            keys = new.select(KEYS[name]).distinct()
+            moved = stored.select(KEYS[name], "part").join(keys, KEYS[name], "left_semi")
+            touched |= {r["part"] for r in moved.select("part").distinct().collect()}
+        beside = stored.filter(F.col("part").isin(sorted(touched))).drop("part")
+        newest = merge_latest(beside, new, KEYS[name]).withColumn("part", _part_of(name))
+        _, parts = versions.stage(newest, root, f"newest/{name}", version, "part")
+        return name, added, raw, parts, touched
+
+    total = 0
+    for name, added, raw, parts, touched in _in_parallel(
+        [lambda name=name: load(name) for name in batch]
+    ):
+        total += added
+        entries = versions.replaced(entries, f"raw/{name}", raw)
+        entries = versions.replaced(entries, f"newest/{name}", parts, touched)
+    return total, entries
 
 
 def load_events(spark: SparkSession, root: str, batch: dict[str, DataFrame]) -> int:
-    """Append the unseen events of a batch and bring the newest versions up to date.
+    """Add the unseen events of a batch and bring the newest versions up to date.
 
-    Parents are appended first; returns the rows added. Tables without new rows keep
-    their newest versions as they are. The list of current tables is taken away
-    while files change, so a broken run is followed by a full rebuild from ``raw``.
+    Both change by one switch, so a broken load leaves everything as it was. Batch jobs
+    and streams load through here alike.
     """
-    paths = _canonical_paths(spark, root)
-    delete_folder(spark, f"{root}/staging/current")
-    version = uuid4().hex[:12]
-    added = {}
-    for name in KEYS:
-        if name in batch:
-            incoming = conform(batch[name], EVENTS[name])
-            landed = f"{root}/staging/incoming-{version}/{name}"
-            added[name] = append(
-                idempotent_append(raw_table(spark, root, name), incoming), landed
-            )
-            if added[name]:
-                new = read_table(spark, landed, EVENTS[name])
-                new.write.mode("append").parquet(f"{root}/raw/{name}")
-
-    def bring_up_to_date(name):
-        if name in paths and not added.get(name):
-            return name, paths[name]
-        target = f"{root}/staging/{name}-{version}"
-        if name in paths:
-            landed = f"{root}/staging/incoming-{version}/{name}"
-            newest = merge_latest(
-                read_table(spark, paths[name], EVENTS[name]),
-                read_table(spark, landed, EVENTS[name]),
-                KEYS[name],
-                added[name],
-            )
-        else:
-            newest = latest_version(raw_table(spark, root, name), KEYS[name])
-        newest.write.parquet(target)
-        return name, target
+    _sweep(spark, root)
+    added, entries = stage_events(spark, root, versions.current(spark, root), batch)
+    if added:
+        versions.publish(spark, root, entries)
+    return added
 
-    current = dict(
-        _in_parallel([lambda name=name: bring_up_to_date(name) for name in KEYS])
-    )
-    spark.createDataFrame(list(current.items()), _CURRENT).coalesce(1).write.parquet(
-        f"{root}/staging/current"
-    )
-    delete_folder(spark, f"{root}/staging/incoming-{version}")
-    for name, path in paths.items():
-        if current[name] != path:
-            delete_folder(spark, path)
-    return sum(added.values())
 
+def _sweep(spark: SparkSession, root: str) -> None:
+    tables = [f"{kind}/{name}" for kind in ("raw", "newest") for name in KEYS]
+    versions.sweep(spark, root, [*tables, *[f"mart/{name}" for name in MARTS]])
 
-def canonical_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The stored newest versions, rebuilt first if a broken run left none."""
-    if not _canonical_paths(spark, root):
-        load_events(spark, root, {})
-    paths = _canonical_paths(spark, root)
-    return {name: read_table(spark, paths[name], EVENTS[name]) for name in KEYS}
 
+def _newest(spark, root, name, entries) -> DataFrame:
+    return versions.read(spark, root, entries, f"newest/{name}", EVENTS[name], "part")
 
-def refresh_marts(
-    tables: dict[str, DataFrame], root: str, span: ReportSpan, marts=tuple(MARTS)
-) -> dict[str, int]:
-    """Recompute the marts of every date in the span and replace those partitions."""
+
+def canonical_tables(
+    spark: SparkSession, root: str, entries=None, span: ReportSpan | None = None
+) -> dict[str, DataFrame]:
+    """The stored newest versions; nothing is written.
+
+    With a ``span``, touches and applications are read from the months that its reports
+    can depend on: :data:`REACH` days before it up to its end.
+    """
+    entries = versions.current(spark, root) if entries is None else entries
+    tables = {}
+    for name in KEYS:
+        frame = _newest(spark, root, name, entries)
+        if span and name in BY_MONTH:
+            first = (span.start - timedelta(days=REACH)).strftime("%Y-%m")
+            frame = frame.filter(F.col("part").between(first, span.end.strftime("%Y-%m")))
+        tables[name] = frame.drop("part")
+    return tables
+
+
+# Days before a report date on which a touch or an application can still count in its marts and checks.
+REACH = 31
+
+
+def stage_marts(
+    tables: dict[str, DataFrame],
+    root: str,
+    entries: versions.Entries,
+    span: ReportSpan,
+    marts=tuple(MARTS),
+) -> tuple[dict[str, int], versions.Entries]:
+    """Write the marts of every date in the span; returns rows and entries, not yet current."""
     spark = tables["loan"].sparkSession
-    frames = {}
-    if "daily_credit_kpi" in marts:
-        frames["daily_credit_kpi"] = credit_kpi(
-            tables["application"], tables["customer"], tables["loan"], span
-        )
-    if "daily_campaign_kpi" in marts:
-        frames["daily_campaign_kpi"] = campaign_kpi(
+    version = _version()
+
+    def write(name, frame):
+        rows, parts = versions.stage(frame, root, f"mart/{name}", version, "report_date")
+        return name, rows, parts
+
+    def credit():
+        frame = credit_kpi(tables["application"], tables["customer"], tables["loan"], span)
+        return [write("daily_credit_kpi", frame)]
+
+    def campaign():
+        frame = campaign_kpi(
             tables["marketing_touch"], tables["application"], tables["loan"], span
         )
-    if "daily_portfolio_kpi" in marts or "vintage_kpi" in marts:
+        return [write("daily_campaign_kpi", frame)]
+
+    def exposures():
         # Both marts roll up the same ledger, so it is written once.
-        path = f"{root}/staging/exposure_ledger"
+        path = f"{root}/staging/ledger-{version}"
         exposure_ledger(
             tables["installment"], tables["loan"], tables["payment"], span
         ).write.mode("overwrite").parquet(path)
         ledger = spark.read.parquet(path)
-        if "daily_portfolio_kpi" in marts:
-            frames["daily_portfolio_kpi"] = portfolio_from_changes(ledger, span)
-        if "vintage_kpi" in marts:
-            frames["vintage_kpi"] = vintage_from_changes(ledger, span)
-    counts = _in_parallel(
-        [
-            lambda name=name, df=df: overwrite_partitions(
-                df, f"{root}/mart/{name}", "report_date", span.dates
-            )
-            for name, df in frames.items()
-        ]
-    )
-    return dict(zip(frames, counts, strict=True))
+        build = {"daily_portfolio_kpi": portfolio_from_changes, "vintage_kpi": vintage_from_changes}
+        done = _in_parallel(
+            [lambda n=n, f=f: write(n, f(ledger, span)) for n, f in build.items() if n in marts]
+        )
+        delete_folder(spark, path)
+        return done
+
+    tasks = []
+    if "daily_credit_kpi" in marts:
+        tasks.append(credit)
+    if "daily_campaign_kpi" in marts:
+        tasks.append(campaign)
+    if "daily_portfolio_kpi" in marts or "vintage_kpi" in marts:
+        tasks.append(exposures)
+    counts = {}
+    for done in _in_parallel(tasks):
+        for name, rows, parts in done:
+            counts[name] = rows
+            entries = versions.replaced(entries, f"mart/{name}", parts, span.dates)
+    return counts, entries
 
 
+def refresh_marts(
+    tables: dict[str, DataFrame], root: str, span: ReportSpan, marts=tuple(MARTS)
+) -> dict[str, int]:
+    """Recompute the marts of every date in the span and publish them by one switch."""
+    spark = tables["loan"].sparkSession
+    counts, entries = stage_marts(tables, root, versions.current(spark, root), span, marts)
+    versions.publish(spark, root, entries)
+    return counts
 def _log_run(spark, root, report_date, status, loaded=0, rejected=0, error=None, restart=False):
     """Upsert the run's row. A restart resets it, any other status keeps its start."""
     now = datetime.now(UTC)
@@ -224,6 +296,7 @@ def _record_checks(spark, root, report_date, checks: DataFrame) -> DataFrame:
     return stored
 
 
+
 def run(
     spark: SparkSession,
     root: str,
@@ -233,8 +306,10 @@ def run(
 ) -> dict:
     """Load a day's batch, check it and refresh the look-back window of all marts.
 
-    After an earlier success only the marts are refreshed. A failed hard check
-    keeps the loaded events and the check rows and leaves the marts as they are.
+    After an earlier success only the marts are refreshed. A failed hard check keeps
+    the loaded events and the check rows and leaves the marts as they are. Events and marts
+    become current together at the end, so an error leaves neither; rejects are kept by run
+    date, so a repeated run doesn't store them twice.
     """
     previous = (
         read_table(spark, f"{root}/audit/pipeline_runs", RUN_LOG)
@@ -243,7 +318,7 @@ def run(
     )
     span = report_span(report_date, lookback)
     if previous and previous.status == "success":
-        refresh_marts(canonical_tables(spark, root), root, span)
+        refresh_marts(canonical_tables(spark, root, span=span), root, span)
         return {
             "status": "success",
             "loaded": previous.rows_loaded,
@@ -253,21 +328,30 @@ def run(
     _log_run(spark, root, report_date, "running", restart=True)
     rejected = 0
     try:
-        batch = dict(batch)
+        _sweep(spark, root)
+        batch, rejects = dict(batch), None
         if "application" in batch:
             batch["application"], rejects = quarantine(
                 batch["application"], negative_request_rule(), report_date
             )
-            rejects = rejects.withColumn("rejected_at", F.lit(datetime.now(UTC)))
-            rejected = append(
-                conform(rejects, REJECTED_EVENTS), f"{root}/audit/rejected_events"
+        loaded, entries = stage_events(spark, root, versions.current(spark, root), batch)
+        if rejects is not None:
+            stamped = rejects.withColumn("rejected_at", F.lit(datetime.now(UTC)))
+            rejected = overwrite_partitions(
+                conform(stamped, REJECTED_EVENTS),
+                f"{root}/audit/rejected_events",
+                "run_date",
+                [report_date],
             )
-        loaded = load_events(spark, root, batch)
-        tables = canonical_tables(spark, root)
-        checks = _record_checks(spark, root, report_date, all_checks(tables, report_date))
+        tables = canonical_tables(spark, root, entries, span)
+        # reference checks read applications whole, the volume check only the months it needs
+        whole = canonical_tables(spark, root, entries)
+        whole["recent_application"] = tables["application"]
+        checks = _record_checks(spark, root, report_date, all_checks(whole, report_date))
         verdict = gate(checks).first()
         if verdict.status == "success":
-            refresh_marts(tables, root, span)
+            _, entries = stage_marts(tables, root, entries, span)
+        versions.publish(spark, root, entries)
         _log_run(
             spark, root, report_date, verdict.status, loaded, rejected, verdict.error_message
         )
@@ -278,13 +362,36 @@ def run(
         raise RunFailure(message) from exc
 
 
+def backfill(
+    spark: SparkSession,
+    root: str,
+    batch_of: Callable[[date], dict[str, DataFrame]],
+    start: date,
+    end: date,
+) -> list[dict]:
+    """Run every day of a range in order, then rebuild all marts of the range in one pass.
+
+    Each day is loaded, checked, gated and logged with its own mart date only. The first
+    day that isn't a success stops the backfill with an error; days before it stay.
+    """
+    results = []
+    for day in ReportSpan(start, end).dates:
+        result = run(spark, root, batch_of(day), day, lookback=0)
+        if result["status"] != "success":
+            raise RunFailure(f"backfill stopped on {day}: {result}")
+        results.append(result)
+    rebuild(spark, root, start, end)
+    return results
+
+
 def rebuild(spark: SparkSession, root: str, start: date, end: date) -> dict[str, int]:
     """Rebuild all marts for every date of a range in one pass."""
-    return refresh_marts(canonical_tables(spark, root), root, ReportSpan(start, end))
+    span = ReportSpan(start, end)
+    return refresh_marts(canonical_tables(spark, root, span=span), root, span)
 
 
 def validate(spark: SparkSession, root: str, report_date: date) -> DataFrame:
-    """The six checks over the stored events; nothing is recorded."""
+    """The six checks over the stored events; nothing is written."""
     return all_checks(canonical_tables(spark, root), report_date)
 
 

@@ -35,6 +35,8 @@ def report_overview(marts, report_date=None) -> DataFrame:
     return (
         _on_date(marts, CREDIT, report_date)
         .agg(*_totals(["applications", "approvals", "funded_amount", "funded_count"]))
+        # a day without rows counts as zeros, not as NULLs
+        .na.fill(0)
         .select(
             "applications",
             (F.col("approvals") / F.greatest("applications", F.lit(1))).alias("approval_rate"),
@@ -81,21 +83,26 @@ def report_portfolio_trend(marts) -> DataFrame:
     )
 
 
-def report_vintage_heatmap(marts, report_date=None, months=None) -> DataFrame:
-    """Mean 30-day rate: a row per origination month, a column per months on book.
+def report_vintage_rates(marts, report_date=None) -> DataFrame:
+    """Mean 30-day rate per origination month and months on book."""
+    vintage = _on_date(marts, VINTAGE, report_date)
+    return vintage.groupBy("origination_month", "months_on_book").agg(
+        F.avg(F.col("dpd_30_rate").cast("double")).alias("mean_dpd_30_rate")
+    )
+
 
-    Without a ``months`` list the columns run up to the highest value present,
-    which the calendar bounds; no month is left out.
+def report_vintage_heatmap(marts, report_date=None) -> DataFrame:
+    """The same rates with a column per months on book.
+
+    Columns run up to the highest value present, which the calendar bounds.
     """
-    vintage = _on_date(marts, VINTAGE, report_date)
-    if months is None:
-        highest = vintage.agg(F.max("months_on_book")).first()[0]
-        months = range((highest or 0) + 1)
-    months = list(months)
+    rates = report_vintage_rates(marts, report_date)
+    highest = rates.agg(F.max("months_on_book")).first()[0]
+    months = list(range((highest or 0) + 1))
     wide = (
-        vintage.groupBy("origination_month")
+        rates.groupBy("origination_month")
         .pivot("months_on_book", months)
-        .agg(F.avg(F.col("dpd_30_rate").cast("double")))
+        .agg(F.first("mean_dpd_30_rate"))
     )
     return wide.select(
         "origination_month", *[F.col(f"`{m}`").alias(f"mob_{m}") for m in months]

@@ -80,7 +80,11 @@ class Tables:
         }
 
     def with_defects(self) -> dict[str, DataFrame]:
-        """Newest versions with broken references and amounts for the checks to find."""
+        """Newest versions with broken rows added for the checks to find.
+
+        Every row of the clean tables stays: applications and payments without a parent, loans
+        without an accepted application and a loan with a short schedule come on top.
+        """
         applications, loans = self.application, self.loan
         extra = applications.filter("decision = 'rejected' and application_id % 300 = 7").select(
             (F.col("application_id") * 10 + 1).alias("loan_id"),
@@ -95,14 +99,34 @@ class Tables:
         negated = F.when(F.col("application_id") % 200 == 0, -F.col("requested_amount")).otherwise(
             F.col("requested_amount")
         )
+        orphans = applications.filter("application_id % 50 = 1").withColumns(
+            {
+                "source_event_id": F.concat(F.lit("orphan:"), "source_event_id"),
+                "application_id": -F.col("application_id"),
+                "customer_id": -F.col("customer_id"),
+            }
+        )
+        schedule = self.installment.select("installment_id", "loan_id", "scheduled_principal")
+        short = homeless.select(
+            (F.col("loan_id") * 100).alias("installment_id"),
+            "loan_id",
+            F.lit(400).cast(MONEY).alias("scheduled_principal"),
+        )
+        amounts = ["amount", "principal_paid", "interest_paid"]
+        payments = self.payment.select("payment_id", "installment_id", *amounts)
+        lost = payments.filter("installment_id % 97 = 0").withColumns(
+            {"payment_id": -F.col("payment_id"), "installment_id": -F.col("installment_id")}
+        )
         return {
-            "customer": self.customer.filter("customer_id % 50 <> 1"),
-            "application": applications.withColumn("requested_amount", negated.cast(MONEY)),
+            "customer": self.customer,
+            "application": applications.withColumn(
+                "requested_amount", negated.cast(MONEY)
+            ).unionByName(orphans),
             "loan": loans.select("loan_id", "application_id", "principal")
             .unionByName(extra)
             .unionByName(homeless),
-            "installment": self.installment.filter("installment_id % 97 <> 0"),
-            "payment": self.payment,
+            "installment": schedule.unionByName(short),
+            "payment": payments.unionByName(lost),
         }
 
     def dq_summary(self) -> DataFrame:
@@ -352,6 +376,10 @@ def rebuild_range(t):
     return t.mart("portfolio", REBUILD)
 
 
+for _name in ("credit", "campaign", "vintage"):
+    _mart("rebuild", _name, lambda t, n=_name: t.mart(n, REBUILD))
+
+
 @query
 def last_touch_attribution(t):
     return attribution.last_touch(t.application, t.marketing_touch)
@@ -513,6 +541,12 @@ def report_overview(t):
     return reports.report_overview(t.published("credit", "portfolio"))
 
 
+@query
+def report_overview_empty(t):
+    """The overview of a day before the first event."""
+    return reports.report_overview(t.published("credit", "portfolio"), date(1990, 1, 1))
+
+
 @query
 def report_acquisition_trend(t):
     return reports.report_acquisition_trend(t.published("credit"))
@@ -535,10 +569,8 @@ def report_portfolio_trend(t):
 
 @query
 def report_vintage_heatmap(t):
-    # The given orders start in January 1995: at most 42 months before the report date.
-    return reports.report_vintage_heatmap(
-        t.published("credit", "portfolio", "vintage"), months=range(42)
-    )
+    """The heat-map's cells, one row each, so that no month on book is left out."""
+    return reports.report_vintage_rates(t.published("credit", "portfolio", "vintage"))
 
 
 @query
@@ -755,27 +787,26 @@ def stream_ingest(t):
         )
 
     out = _folder(t, "stream_ingest")
-    # The file spans 30 days in arbitrary order, so the delay covers all of it.
-    unique = streams.deduplicated(arrivals().unionByName(arrivals()), "45 days")
-    streams.write_available(unique, f"{out}/sink", f"{out}/checkpoint")
+    arriving = arrivals().unionByName(arrivals())
+    handle = streams.append_unseen(f"{out}/sink", arriving.schema)
+    streams.run_available(arriving, handle, f"{out}/checkpoint")
     return t.spark.read.parquet(f"{out}/sink").drop("ingested_at")
 
 
 @query
 def stream_refresh(t):
-    """Payments stream in; every micro-batch appends them and refreshes the look-back."""
+    """A root holds loans, schedules and first payment versions; all payments stream in.
+
+    Every micro-batch goes through the job's load and refreshes the look-back.
+    """
     root = _folder(t, "stream_refresh")
     payments = event_table(t.spark, t.sf_dir, "payment")
+    stored = {n: event_table(t.spark, t.sf_dir, n) for n in ("loan", "installment")}
+    jobs.load_events(t.spark, root, {**stored, "payment": payments.filter("event_version = 1")})
     landing = storage.table_path(t.spark, t.sf_dir, "raw_payment")
     stream = streams.event_stream(t.spark, landing, payments.schema)
-    handle = streams.refresh_batch(
-        root,
-        "payment",
-        LOOKBACK,
-        {"installment": t.installment, "loan": t.loan},
-        ("daily_portfolio_kpi",),
-    )
-    streams.stream_refresh(stream, handle, f"{root}/checkpoint")
+    handle = streams.refresh_batch(root, "payment", LOOKBACK, ("daily_portfolio_kpi",))
+    streams.run_available(stream, handle, f"{root}/checkpoint")
     return jobs.mart_table(t.spark, root, "daily_portfolio_kpi")
 
 

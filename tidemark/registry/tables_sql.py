@@ -106,7 +106,7 @@ TABLES = {
         ["base_order"],
         "SELECT k * 10 + 2 AS touch_id, c AS customer_id, campaign AS campaign_id, "
         f"{_pick(_CHANNELS, 'k')} AS channel, day - CAST(k % 11 AS INTEGER) AS touch_date, "
-        "k % 3 <> 0 AS opened, k % 7 = 0 AS clicked FROM base_order WHERE k % 4 <> 0",
+        "k % 3 <> 0 AS opened, k % 7 = 0 AS clicked FROM base_order",
     ),
     "marketing_touch_events": (
         ["touch_rows"],
@@ -127,7 +127,7 @@ TABLES = {
         "ELSE 350 + (c * 37) % 501 END AS score FROM base_order "
         f"JOIN (SELECT l_orderkey, SUM(CAST(l_extendedprice AS {_M})) AS total "
         "FROM lineitem GROUP BY l_orderkey) ON l_orderkey = k "
-        "WHERE status = 'F' AND k % 10 <> 0)",
+        "WHERE status = 'F')",
     ),
     "loan_events": (
         ["loan_rows"],

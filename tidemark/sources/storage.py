@@ -1,6 +1,7 @@
 """Reading and writing tables on shared storage."""
 
 import hashlib
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -13,11 +14,14 @@ _written: set[tuple[str, str]] = set()
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names for checkpoints, which all executors reach.
 
-    Only where none is named (tests on one machine) a temporary folder is used.
+    Only a local master, where the driver is the executor, may go without: it gets a
+    temporary folder. On a cluster a missing setting is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors reach")
     app = spark.sparkContext.applicationId
     if app not in _local_roots:
         _local_roots[app] = tempfile.mkdtemp(prefix="tidemark-")
@@ -61,6 +65,14 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none where it is absent."""
+    fs, target = _hadoop(spark, path)
+    if not fs.exists(target):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory()]
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     fs, target = _hadoop(spark, path)
     fs.delete(target, True)

@@ -5,22 +5,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions.span import ReportSpan
-from tidemark.operators.canonical import latest_version
 from tidemark.operators.ingest import idempotent_append
-from tidemark.plans.jobs import raw_table, refresh_marts
-from tidemark.schemas import EVENTS, KEYS, conform
-from tidemark.sources.storage import append
-
-
-def deduplicated(
-    events: DataFrame, delay: str, time_col: str = "ingested_at", id_col: str = "source_event_id"
-) -> DataFrame:
-    """First copy of each event id within the watermark delay.
-
-    The watermark follows ingestion time: business dates may lie far back, and an
-    event-time watermark would discard the late events that must restate the past.
-    """
-    return events.withWatermark(time_col, delay).dropDuplicatesWithinWatermark([id_col])
+from tidemark.plans.jobs import canonical_tables, load_events, refresh_marts
+from tidemark.schemas import MARTS
+from tidemark.sources.storage import append, read_table
 
 
 def event_stream(
@@ -34,46 +22,49 @@ def event_stream(
     )
 
 
-def write_available(stream: DataFrame, sink: str, checkpoint: str) -> None:
-    """Write everything available now to a Parquet file sink, exactly once."""
-    query = (
-        stream.writeStream.format("parquet")
-        .option("path", sink)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+def append_unseen(
+    sink: str, schema, id_col: str = "source_event_id", time_col: str = "ingested_at"
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function: append the rows whose id the sink doesn't hold yet.
+
+    No event is too old. The earliest copy within a micro-batch wins; a replayed
+    micro-batch finds its ids stored and adds nothing.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        stored = read_table(batch.sparkSession, sink, schema)
+        append(idempotent_append(stored, batch, id_col, (time_col,)), sink)
+
+    return handle
 
 
 def stream_ingest(
-    spark: SparkSession, landing: str, schema, sink: str, checkpoint: str, delay: str
+    spark: SparkSession, landing: str, schema, sink: str, checkpoint: str, max_files: int = 1000
 ) -> None:
-    write_available(deduplicated(event_stream(spark, landing, schema), delay), sink, checkpoint)
+    """Bring everything that has landed into the sink, each event id once."""
+    stream = event_stream(spark, landing, schema, max_files)
+    run_available(stream, append_unseen(sink, schema), checkpoint)
 
 
 def refresh_batch(
-    root: str, table: str, span: ReportSpan, others: dict[str, DataFrame], marts: tuple[str, ...]
+    root: str, table: str, span: ReportSpan, marts: tuple[str, ...] = tuple(MARTS)
 ) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function: append the batch's unseen events, refresh marts.
+    """A ``foreachBatch`` function: load the batch as a job does, then refresh marts.
 
-    ``others`` holds the newest versions of the tables that do not stream. A
-    replayed micro-batch adds nothing and rewrites the same partitions.
+    Events go through the load of :mod:`tidemark.plans.jobs`, so the stored newest
+    versions hold them and later runs go on from there; the other tables are read anew
+    for every micro-batch. A replayed micro-batch adds nothing and writes the same marts.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        incoming = conform(batch, EVENTS[table])
-        append(
-            idempotent_append(raw_table(spark, root, table), incoming), f"{root}/raw/{table}"
-        )
-        newest = latest_version(raw_table(spark, root, table), KEYS[table])
-        refresh_marts({**others, table: newest}, root, span, marts)
+        load_events(spark, root, {table: batch})
+        refresh_marts(canonical_tables(spark, root, span=span), root, span, marts)
 
     return handle
 
 
-def stream_refresh(
+def run_available(
     stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str
 ) -> None:
     query = (
