@@ -277,6 +277,7 @@ def test_licence_edges(odd, none, spark):
     rows = licenses.scan(odd, model).collect()
     assert len(rows) == 7 and {r.families for r in rows} == {""}
     assert licenses.scan(none, model).count() == 0
+    model = licenses.train(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
     notice = documents(spark, [(1, "Some words\nReleased under the MIT License.\nAll rights reserved.", "a")])
     assert [r.families for r in licenses.scan(notice, model).collect()] == ["mit,reserved"]
 

@@ -21,11 +21,15 @@ from pyspark.sql import functions as F
 from tidemark.llm.components import connected
 from tidemark.llm.shared import cut, ship
 
-BANDS, ROWS = 28, 5
+BANDS, ROWS = 32, 6
 BASE, LIMIT = 1.02, 65534
 #: Rate of the smallest value that a register can tell apart; sets of up to some 10^15 shingles fit.
 RATE = 20.0
 WIDTH = 5
+#: Orders in which a bucket's hub is the first member; a bucket's key names its order.
+ORDERS = [0x5DEECE66D1A2B3C4, 0x2545F4914F6CDD1D, 0x369DEA0F31A53F85, 0x1B873593CC9E2D51]
+#: Counters that tell rare shingles from frequent ones; more shingles than counters only blur the order.
+COUNTERS = 1 << 18
 #: A pair is linked if 100 * common >= PERCENT * union.
 PERCENT = 85
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -191,7 +195,7 @@ def _texts(classes: DataFrame, wanted: DataFrame, docs: DataFrame) -> DataFrame:
     return docs.join(found, ["doc_id", "tkey"]).groupBy("cls").agg(F.first("text").alias("text"))
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` whose full shingle sets are alike enough."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -208,7 +212,6 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: in
                     rows.append((a, b))
             yield _arrow(rows, schema)
 
-    texts = _texts(classes, pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), docs)
     both = pairs.join(texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b")
     both = both.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a")
     return cut(both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long"))
@@ -220,30 +223,44 @@ def _roots(frame: DataFrame, roots: DataFrame, column: str) -> DataFrame:
     return frame.join(named, column, "left").withColumn(f"root_{column}", F.coalesce("_root", column)).drop("_root")
 
 
-def _across(members: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def _across(members: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Pairs ``(a, b)`` of the members ``(cls, root)`` that may be linked across components.
 
     Two sets that are alike enough share a shingle among the first ``n - ceil(percent * n / 100) + 1``
     of each in any common order. Here that is rarity among the members, so sets with enough
     shingles of their own meet nobody, and the places of the shared shingle bound what else two
-    sets can share.
+    sets can share. Rarity is read from a fixed number of counters: any order is exact.
     """
-    schema = pa.schema([("cls", pa.int64()), ("shingle", pa.int64())])
+    counted = pa.schema([("cell", pa.int32()), ("n", pa.int64())])
 
-    def run(batches):
+    def count(batches):
+        seen = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for t in batch.column(0):
+                np.add.at(seen, (shingles(t.as_py()) % np.uint64(COUNTERS)).astype(np.int64), 1)
+        cells = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int32)), pa.array(seen[cells])], schema=counted)
+
+    own = cut(texts.join(members, "cls").select("cls", "root", "text"))
+    often = np.zeros(COUNTERS, np.int64)
+    for r in own.select("text").mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        often[r["cell"]] = r["n"]
+    known = own.sparkSession.sparkContext.broadcast(often)
+    schema = pa.schema([("shingle", pa.int64()), ("cls", pa.int64()), ("root", pa.int64()), ("n", pa.int64()), ("at", pa.int64())])
+
+    def first(batches):
         for batch in batches:
-            for own, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                s = shingles(t.as_py()).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), own)), pa.array(s)], schema=schema)
-
-    each = cut(_texts(classes, members, docs).mapInArrow(run, "cls long, shingle long"))
-    often = each.groupBy("shingle").agg(F.count("*").alias("df"))
-    item = F.struct("df", "shingle")
-    ranked = each.join(often, "shingle").groupBy("cls").agg(F.sort_array(F.collect_list(item)).alias("s"), F.count("*").alias("n"))
-    need = F.floor((percent * F.col("n") + 99) / 100)
-    first = F.slice("s", 1, (F.col("n") - need + 1).cast("int"))
-    heads = ranked.select("cls", "n", F.posexplode(first).alias("at", "x")).where("x.df > 1").select("cls", "n", "at", "x.shingle").join(members, "cls")
-    heads = cut(heads.select("shingle", "cls", "root", "n", "at"))
+            for cls, root, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                s = shingles(t.as_py())
+                df = known.value[(s % np.uint64(COUNTERS)).astype(np.int64)]
+                n = len(s)
+                order = np.lexsort((s, df))[: n - (percent * n + 99) // 100 + 1]
+                at = np.flatnonzero(df[order] > 1)
+                some = s[order][at].view(np.int64)
+                fixed = [pa.array(np.full(len(at), x, np.int64)) for x in (cls, root, n)]
+                yield pa.RecordBatch.from_arrays([pa.array(some), *fixed, pa.array(at.astype(np.int64))], schema=schema)
+
+    heads = cut(own.mapInArrow(first, "shingle long, cls long, root long, n long, at long"))
     left, right = (heads.select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("cls", "root", "n", "at")]) for x in "ab")
     bound = F.least("at_a", "at_b") + 1 + F.least(F.col("n_a") - F.col("at_a") - 1, F.col("n_b") - F.col("at_b") - 1)
     enough = (100 + percent) * bound >= percent * (F.col("n_a") + F.col("n_b"))
@@ -256,8 +273,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """Rows ``(doc_id, n_shingles, component_id)``, one for each row of ``docs``.
 
     1. Documents with equal shingle sets become a class.
-    2. In every bucket of a band one member, drawn anew for each bucket, is the hub, and every
-       other is paired with it: at most one pair for each member, whatever the bucket's size.
+    2. In every bucket of a band one member, the first in one of four orders, is the hub, and
+       every other is paired with it: at most one pair for each member, whatever the bucket's size.
     3. Pairs that pass the sizes and the joint estimate are confirmed on full sets; first the
        likeliest of each class, then those that still lie across components.
     4. Buckets that still hold several components get an exact second way: their members are
@@ -274,27 +291,29 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     full = rows.where(F.col("cls").isNotNull() & F.col("doc_id").isNotNull())
     classes = cut(full.groupBy("cls").agg(F.min(F.struct("doc_id", "tkey")).alias("first"), F.first("n").alias("n"), F.first("sketch").alias("sketch")))
     bands = _banded(classes)
-    # the key is as good as random, so the smallest exclusive-or with it is a random member
-    drawn = F.col("cls").bitwiseXOR(F.col("key"))
+    first_of = F.element_at(F.array(*[F.lit(x) for x in ORDERS]), F.pmod(F.col("key"), F.lit(len(ORDERS))).cast("int") + 1)
+    drawn = F.col("cls").bitwiseXOR(first_of)
     buckets = bands.groupBy("key").agg(F.min(drawn).alias("x"), F.max(drawn).alias("y")).where("x <> y")
-    hubs = cut(buckets.select("key", F.col("x").bitwiseXOR(F.col("key")).alias("hub")))
+    hubs = cut(buckets.select("key", F.col("x").bitwiseXOR(first_of).alias("hub")))
     shared = cut(bands.join(hubs, "key"))
+    texts = cut(_texts(classes, shared.select("cls").distinct(), keyed))
     star = shared.where("cls <> hub").select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct()
     likely = cut(_likely(star, classes, percent))
-    best = likely.groupBy("b").agg(F.max_by("a", "j").alias("a")).select("a", "b")
-    links = _verified(cut(best), classes, keyed, percent)
-    roots = connected(links)
-    open_pairs = _roots(_roots(likely, roots, "a"), roots, "b").where("root_a <> root_b").select("a", "b").join(best, ["a", "b"], "left_anti")
-    links = links.union(_verified(cut(open_pairs), classes, keyed, percent))
+    best = cut(likely.groupBy("b").agg(F.max_by("a", "j").alias("a")).select("a", "b"))
+    links = _verified(best, texts, percent)
     roots = connected(links)
+    open_pairs = cut(_roots(_roots(likely, roots, "a"), roots, "b").where("root_a <> root_b").select("a", "b").join(best, ["a", "b"], "left_anti"))
+    if not open_pairs.isEmpty():
+        links = links.union(_verified(open_pairs, texts, percent))
+        roots = connected(links)
     rooted = _roots(shared.select("key", "cls"), roots, "cls").withColumnRenamed("root_cls", "root")
     mixed = rooted.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("key")
-    members = cut(rooted.join(mixed, "key", "left_semi").select("cls", "root").distinct())
+    members = rooted.join(mixed, "key", "left_semi").select("cls", "root").distinct()
     tried = likely.select("a", "b")
-    across = cut(_likely(_across(members, classes, keyed, percent).join(tried, ["a", "b"], "left_anti"), classes, percent)).select("a", "b")
-    more = _verified(across, classes, keyed, percent)
-    if not more.isEmpty():
-        roots = connected(links.union(more))
+    across = cut(_likely(_across(members, texts, percent).join(tried, ["a", "b"], "left_anti"), classes, percent)).select("a", "b")
+    if not across.isEmpty():
+        more = _verified(across, texts, percent)
+        roots = roots if more.isEmpty() else connected(links.union(more))
     named = _roots(classes.select("cls", "first"), roots, "cls")
     ids = named.groupBy("root_cls").agg(F.min("first.doc_id").alias("component_id"))
     by_class = named.select("cls", "root_cls").join(ids, "root_cls").select("cls", "component_id")

@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from tidemark.llm.shared import SPACES, cut, ship
 
 #: Rows that one flight takes at most in the mean; leftovers of that many blocks meet in the next flight.
-BLOCK = 20_000
+BLOCK = 4_000
 #: Open items of a source, of all sizes, that are kept for the landing.
 LANDING = 12
 
