@@ -21,7 +21,7 @@ def connected(edges: DataFrame) -> DataFrame:
     graph = cut(edges.select("a", "b").distinct())
     steps: list[DataFrame] = []
     while not graph.isEmpty():
-        rank = lambda c: F.struct(F.xxhash64(F.lit(len(steps)), c).alias("h"), c.alias("id"))  # noqa: B023, E731
+        rank = lambda c: F.struct(F.xxhash64(c).alias("h"), c.alias("id"))
         both = graph.select("a", "b").union(graph.select(F.col("b").alias("a"), F.col("a").alias("b")))
         moves = cut(
             both.groupBy(F.col("a").alias("node"))

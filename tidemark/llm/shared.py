@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -23,9 +24,14 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(frame: DataFrame) -> DataFrame:
-    """The frame, computed once and read from the shared checkpoint folder from now on."""
-    shared_dir(frame.sparkSession)
-    return frame.checkpoint()
+    """The frame, written as a table below the shared checkpoint folder and read from there.
+
+    Unlike a checkpoint of the plan, a table starts a plan of its own: in loops, what the
+    optimizer derives from earlier rounds doesn't pile up.
+    """
+    folder = f"{shared_dir(frame.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    frame.write.parquet(folder)
+    return frame.sparkSession.read.schema(frame.schema).parquet(folder)
 
 
 def ship(spark: SparkSession) -> None:
