@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import SPACES, cut, words
+from tidemark.llm.shared import cut, words
 
 #: Characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -120,5 +120,3 @@ def assess(
         .drop("_key", "lost")
     )
 
-
-__all__ = ["SPACES", "assess", "base_features", "depleted", "line_counts"]
