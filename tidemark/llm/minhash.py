@@ -29,7 +29,7 @@ WIDTH = 5
 #: Orders in which a bucket's hub is the first member; a bucket's key names its order.
 ORDERS = [0x5DEECE66D1A2B3C4, 0x2545F4914F6CDD1D, 0x369DEA0F31A53F85, 0x1B873593CC9E2D51]
 #: Counters that tell rare shingles from frequent ones; more shingles than counters only blur the order.
-COUNTERS = 1 << 18
+COUNTERS = 1 << 21
 #: A pair is linked if 100 * common >= PERCENT * union.
 PERCENT = 85
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -234,17 +234,18 @@ def _across(members: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     counted = pa.schema([("cell", pa.int32()), ("n", pa.int64())])
 
     def count(batches):
-        seen = np.zeros(COUNTERS, np.int64)
+        seen = np.zeros(COUNTERS, np.int32)
         for batch in batches:
             for t in batch.column(0):
                 np.add.at(seen, (shingles(t.as_py()) % np.uint64(COUNTERS)).astype(np.int64), 1)
         cells = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int32)), pa.array(seen[cells])], schema=counted)
+        yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int32)), pa.array(seen[cells].astype(np.int64))], schema=counted)
 
     own = cut(texts.join(members, "cls").select("cls", "root", "text"))
-    often = np.zeros(COUNTERS, np.int64)
-    for r in own.select("text").mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
-        often[r["cell"]] = r["n"]
+    # at most COUNTERS pairs of numbers, whatever the input
+    cells = own.select("text").mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    often = np.zeros(COUNTERS, np.int32)
+    often[cells.column("cell").to_numpy()] = np.minimum(cells.column("n").to_numpy(), 2**31 - 1)
     known = own.sparkSession.sparkContext.broadcast(often)
     schema = pa.schema([("shingle", pa.int64()), ("cls", pa.int64()), ("root", pa.int64()), ("n", pa.int64()), ("at", pa.int64())])
 
@@ -266,7 +267,11 @@ def _across(members: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     enough = (100 + percent) * bound >= percent * (F.col("n_a") + F.col("n_b"))
     sized = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
     on = (left["shingle"] == right["shingle"]) & (F.col("cls_a") < F.col("cls_b")) & (F.col("root_a") != F.col("root_b")) & sized & enough
-    return left.join(right, on).select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).distinct()
+    pairs = left.join(right, on).groupBy("cls_a", "cls_b", "n_a", "n_b").agg(F.count("*").alias("k"), F.max("at_a").alias("at_a"), F.max("at_b").alias("at_b"))
+    # all that a pair shares: the counted ones, and at most what stands behind the last of them
+    most = F.col("k") + F.least(F.col("n_a") - F.col("at_a") - 1, F.col("n_b") - F.col("at_b") - 1)
+    near = pairs.where((100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b")))
+    return near.select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT) -> DataFrame:
