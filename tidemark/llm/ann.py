@@ -19,7 +19,7 @@ from pyspark.sql import Window as W
 
 from tidemark.llm.shared import cut, ship
 
-TREES, LEAF, PROBES, SEED = 16, 64, 96, 7
+TREES, LEAF, PROBES, SEED = 24, 128, 256, 7
 #: The most vectors that fit the trees, drawn by a hash of the vector.
 SAMPLE = 65_536
 #: Members of a leaf that one task ranks at most in the mean; larger leaves are dealt to several.
