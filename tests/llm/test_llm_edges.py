@@ -324,3 +324,28 @@ def test_pipeline_takes_an_empty_table(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, "/root/testdata/sf0.001")
         assert docs.count() == 0
+
+
+def test_probes_follow_the_table(spark):
+    rng = np.random.default_rng(4)
+    vectors = rng.standard_normal((6000, 32)).astype(np.float32)
+    frame = spark.createDataFrame(pd.DataFrame({"vec_id": range(6000), "embedding": vectors.tolist()})).withColumn("embedding", F.col("embedding").cast("array<float>"))
+    # leaves of 8 stand for a table of many leaves; two probes alone find few of the true neighbours
+    rows = ann.search(frame, F.col("vec_id") % 100 == 0, trees=8, leaf=8, probes=2).collect()
+    hits, wide = 0, vectors.astype(np.float64)
+    for q in range(0, 6000, 100):
+        d = np.sqrt(((wide - wide[q]) ** 2).sum(1))
+        d[q] = np.inf
+        hits += len({r.vec_id for r in rows if r.query_id == q} & set(np.argsort(d, kind="stable")[:10].tolist()))
+    assert hits >= 0.93 * 10 * 60
+
+
+def test_margins_are_in_the_order_of_probes():
+    rng = np.random.default_rng(6)
+    vectors = rng.standard_normal((2000, 16))
+    forest = ann.Forest(vectors, ann.depth_for(2000, 2000, 16), trees=4)
+    margins, order = forest.margins(vectors[0]), forest.probes(vectors[0], 10**6)
+    assert len(set(order)) == margins.size == 4 << forest.depth
+    assert [margins[t, n - (1 << forest.depth)] for t, n in order] == sorted(margins.reshape(-1).tolist())
+    # a sample too small for the table's leaves stops the depth
+    assert ann.depth_for(10**9, 65_536, 128) == 13 and ann.depth_for(1000, 1000, 128) == 3

@@ -2,8 +2,10 @@
 
 A tree splits by the sign of a random projection against its median: one direction for each tree
 and level, one threshold for each node. It is fitted on a bounded sample; its depth follows the
-number of vectors, so leaves keep their size as the data grow. A query walks all
-trees at once through one priority queue of margins, and leaf members are ranked exactly.
+number of vectors, as far as the sample has members for each node. A query walks all
+trees at once through one priority queue of margins, and leaf members are ranked exactly. How
+many leaves a query probes is measured on the table: some queries are answered by a full
+scan, and all probe as many leaves as reach the wanted share of those true neighbours.
 """
 
 from __future__ import annotations
@@ -19,9 +21,15 @@ from pyspark.sql import Window as W
 
 from tidemark.llm.shared import cut, ship
 
-TREES, LEAF, PROBES, SEED = 24, 128, 256, 7
+TREES, LEAF, SEED = 24, 128, 7
+#: Leaves that a query probes at least, and the share of true neighbours for which it probes more.
+PROBES, RECALL = 256, 0.95
+#: Queries that measure the number of probes, drawn by a hash of the vector.
+PILOTS = 128
 #: The most vectors that fit the trees, drawn by a hash of the vector.
 SAMPLE = 65_536
+#: Sample vectors that a leaf has at least in the mean; medians of fewer are noise.
+FITTED = 8
 #: Members of a leaf that one task ranks at most in the mean; larger leaves are dealt to several.
 CROWD = 4096
 
@@ -71,6 +79,65 @@ class Forest:
             found.append((t, node))
         return found
 
+    def margins(self, vector: np.ndarray) -> np.ndarray:
+        """The largest margin crossed on the way to each leaf, ``(trees, leaves)``: the order of ``probes``."""
+        x = self.directions @ (vector - self.center)
+        out = np.zeros((len(self.cuts), 1))
+        for level in range(self.depth):
+            gap = x[:, level, None] - self.cuts[:, 1 << level : 2 << level]
+            sides = [np.where(gap > 0, np.maximum(out, np.abs(gap)), out), np.where(gap > 0, out, np.maximum(out, np.abs(gap)))]
+            out = np.stack(sides, axis=2).reshape(len(out), -1)
+        return out
+
+    def needed(self, vector: np.ndarray, near: np.ndarray) -> np.ndarray:
+        """How many probes of ``vector`` reach each of the ``near`` vectors in one tree at least."""
+        margins = self.margins(vector)
+        first = margins[np.arange(len(margins)), self.leaves(near) - (1 << self.depth)].min(1)
+        return np.searchsorted(np.sort(margins, axis=None), first, side="right")
+
+
+def depth_for(total: int, sampled: int, leaf: int) -> int:
+    """Levels for leaves of about ``leaf`` vectors, stopped where the sample would leave nodes without members."""
+    return max(0, min(round(np.log2(total / leaf)), int(np.log2(max(1, sampled / min(FITTED, leaf))))))
+
+
+def probes_for(forest: Forest, near: list[tuple[list, list]], least: int, recall: float) -> int:
+    """The fewest probes, ``least`` at least, that find the share ``recall`` of true neighbours.
+
+    ``near`` has ``(vector, true neighbours)`` of each pilot query.
+    """
+    found = [forest.needed(np.array(v), np.array(own)) for v, own in near if len(own)]
+    if not found:
+        return least
+    return max(least, int(np.quantile(np.concatenate(found), recall, method="higher")))
+
+
+def _pilots(items: DataFrame, asked: DataFrame, k: int, count: int) -> list[tuple[list, list]]:
+    """``(vector, its k nearest other vectors)`` of ``count`` of the queries at most, by one scan of all vectors."""
+    drawn = [(r["digest"], r["vector"]) for r in asked.orderBy(F.xxhash64("digest", F.lit(SEED + 1)), "digest").limit(count).collect()]
+    if not drawn:
+        return []
+    own, q = np.array([d for d, _ in drawn], np.int64), np.array([v for _, v in drawn], np.float64)
+
+    def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            m, names = np.array(batch["vector"].tolist(), np.float64), batch["digest"].to_numpy()
+            # half the squared distance, less what is the same for all members
+            d = (m**2).sum(1)[None, :] / 2 - q @ m.T
+            d[own[:, None] == names[None, :]] = np.inf
+            best = np.argpartition(d, min(k, len(m)) - 1, axis=1)[:, :k]
+            r, c = np.repeat(np.arange(len(q)), best.shape[1]), best.reshape(-1)
+            fine = d[r, c] < np.inf
+            r, c = r[fine], c[fine]
+            yield pd.DataFrame({"pilot": r, "score": d[r, c], "digest": names[c], "vector": list(m[c])})
+
+    close = items.select("digest", "vector").mapInPandas(nearest, "pilot int, score double, digest long, vector array<double>")
+    order = W.partitionBy("pilot").orderBy("score", "digest")
+    kept = close.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).select("pilot", "vector").collect()
+    return [(v, [r["vector"] for r in kept if r["pilot"] == i]) for i, (_, v) in enumerate(drawn)]
+
 
 def _classes(vectors: DataFrame, vec_id: str, embedding: str, k: int) -> DataFrame:
     """Valid vectors, equal ones as one row ``(vector, digest, ids)`` with their ``k + 1`` smallest ids.
@@ -88,13 +155,15 @@ def _classes(vectors: DataFrame, vec_id: str, embedding: str, k: int) -> DataFra
     return some.groupBy("digest").agg(F.first("vector").alias("vector"), small(F.flatten(F.collect_list("ids"))).alias("ids"))
 
 
-def search(vectors: DataFrame, is_query, vec_id: str = "vec_id", embedding: str = "embedding", k: int = 10, trees: int = TREES, leaf: int = LEAF, probes: int = PROBES) -> DataFrame:
+def search(vectors: DataFrame, is_query, vec_id: str = "vec_id", embedding: str = "embedding", k: int = 10, trees: int = TREES, leaf: int = LEAF, probes: int = PROBES, recall: float = RECALL) -> DataFrame:
     """Rows ``(query_id, rank, vec_id, score)``: the ``k`` nearest found of every row for which ``is_query`` holds.
 
     The score is the Euclidean distance of the original vectors, in double precision; ties go to the
     smaller id and a query isn't its own neighbour. Null, zero and non-finite vectors, and rows
     with a null id, take no part; vectors of another length than most common are refused.
-    If all vectors fit ``probes`` leaves, the search is exact. Repeated rows of an id count once.
+    A query probes ``probes`` leaves, and more where ``PILOTS`` queries need more to find the share
+    ``recall`` of their true neighbours. If all vectors fit these leaves, the search is exact.
+    Repeated rows of an id count once.
     """
     spark = vectors.sparkSession
     ship(spark)
@@ -105,8 +174,8 @@ def search(vectors: DataFrame, is_query, vec_id: str = "vec_id", embedding: str
         return empty
     sample = items.orderBy(F.xxhash64("digest", F.lit(SEED))).limit(SAMPLE).select("vector")
     matrix = np.array([r[0] for r in sample.toLocalIterator()], np.float64)
-    depth = max(0, round(np.log2(total / leaf)))
-    forest = spark.sparkContext.broadcast(Forest(matrix, depth, trees))
+    fitted = Forest(matrix, depth_for(total, len(matrix), leaf), trees)
+    forest = spark.sparkContext.broadcast(fitted)
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -140,6 +209,9 @@ def search(vectors: DataFrame, is_query, vec_id: str = "vec_id", embedding: str
     double = F.transform(F.col(embedding).cast("array<double>"), lambda x: x + F.lit(0.0))
     of_query = vectors.where(is_query).select(F.col(vec_id).cast("long").alias("query_id"), F.xxhash64(double).alias("digest")).where("query_id IS NOT NULL").distinct()
     asked = items.join(of_query.select("digest").distinct(), "digest", "left_semi").select("digest", "vector")
+    if probes < trees << fitted.depth:
+        asked = cut(asked)
+        probes = probes_for(fitted, _pilots(items, asked, k, PILOTS), probes, recall)
     schema = "digest long, tree int, leaf long"
     placed = items.select("digest", "vector").mapInPandas(assign, schema)
     crowds = placed.groupBy("tree", "leaf").agg(F.count("*").alias("n")).where(F.col("n") > CROWD).select("tree", "leaf", F.ceil(F.col("n") / CROWD).alias("deal"))
