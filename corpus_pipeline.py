@@ -16,8 +16,8 @@ from tidemark.llm.shared import shared_dir, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    return quality.assess(docs).where("kept").select(docs.columns)
+    """Documents that the quality rules keep, without the lines that too many texts of a host share."""
+    return quality.clean(docs)
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

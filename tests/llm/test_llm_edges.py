@@ -349,3 +349,19 @@ def test_margins_are_in_the_order_of_probes():
     assert [margins[t, n - (1 << forest.depth)] for t, n in order] == sorted(margins.reshape(-1).tolist())
     # a sample too small for the table's leaves stops the depth
     assert ann.depth_for(10**9, 65_536, 128) == 13 and ann.depth_for(1000, 1000, 128) == 3
+
+
+def test_frequent_lines_go_from_kept_documents(spark):
+    name = lambda i: "abcdefghijklmnopqrstuvwxyz"[i % 26] * (1 + i // 26)
+    own = lambda i: " ".join(f"{name(i)}{name(j)}" for j in range(70))
+    texts = {i: f"Shared  LINE 12\n\n{own(i)}\nshared line {i}\nlast {name(i)}" for i in range(30)}
+    docs = documents(spark, [(i, t, "h") for i, t in texts.items()] + [(100, texts[3], "h"), (101, texts[4], "other"), (102, own(50), None)])
+    for cleaned in (quality.clean(docs), corpus_pipeline.quality_rules(spark, docs, "")):
+        assert cleaned.columns == docs.columns
+        rows = cleaned.collect()
+        got = {r.doc_id: r.text for r in rows}
+        assert len(rows) == 33 and all(r.n_chars == len(r.text) for r in rows)
+        # the first text that has the line keeps it, in both places; blank lines and other hosts stay
+        assert got[0] == texts[0] and got[101] == texts[4] and got[102] == own(50)
+        assert all(got[i] == f"\n{own(i)}\nlast {name(i)}" for i in range(1, 30)) and got[100] == got[3]
+    assert quality.clean(documents(spark, [])).count() == 0

@@ -16,11 +16,12 @@ SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
 
 
-def _lines(text: Column) -> Column:
-    """Lines that have a word, in their normal form: lower case, single spaces, digit runs as one 0."""
+def _lines(text: Column, blank: bool = False) -> Column:
+    """Lines in their normal form: lower case, single spaces, digit runs as one 0; without those that have no word unless ``blank``."""
     flat = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[\x20\x09\x0B-\x0D]+", " ")
     parts = F.split(F.regexp_replace(flat, r"[0-9]+", "0"), "\n")
-    return F.array_remove(F.transform(parts, lambda line: F.trim(line)), "")
+    normal = F.transform(parts, lambda line: F.trim(line))
+    return normal if blank else F.array_remove(normal, "")
 
 
 def _text_key(host: Column, text: Column) -> Column:
@@ -47,8 +48,8 @@ def line_counts(docs: DataFrame, text: str = "text", host: str = "source", doc_i
     return each.groupBy("line", "key").agg(F.max("n").alias("n"), F.max("total").alias("total"), F.min("id").alias("first_id"))
 
 
-def depleted(counts: DataFrame, max_docs: int, max_removed: float) -> DataFrame:
-    """Keys of the texts that lose more than ``max_removed`` of their words.
+def surplus(counts: DataFrame, max_docs: int) -> DataFrame:
+    """The rows of ``counts`` whose line goes from their text: ``line, key, n, total``.
 
     A line goes where more than ``max_docs`` different texts of its host have it, except from
     the text with the smallest document id, so that one source of each line stays. The lines
@@ -61,10 +62,38 @@ def depleted(counts: DataFrame, max_docs: int, max_removed: float) -> DataFrame:
         .where(F.col("docs") > max_docs)
         .select("line", F.col("first.key").alias("keeper"))
     )
-    lost = counts.join(often, "line").where("key <> keeper").groupBy("key").agg(F.sum("n").alias("lost"), F.max("total").alias("total"))
+    return counts.join(often, "line").where("key <> keeper").select("line", "key", "n", "total")
+
+
+def depleted(gone: DataFrame, max_removed: float) -> DataFrame:
+    """Keys of the texts that lose more than ``max_removed`` of their words with the lines ``gone``."""
+    lost = gone.groupBy("key").agg(F.sum("n").alias("lost"), F.max("total").alias("total"))
     return lost.where(F.col("lost") > max_removed * F.col("total")).select("key", "lost")
 
 
+def without_lines(docs: DataFrame, gone: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
+    """The frame with every text without its lines ``gone``, in order; the other lines stay as they are.
+
+    Only hashes and places of lines are exchanged to find them. A text is put together from
+    the stretches between the lines that go, which is linear in its length.
+    """
+    own = docs.columns
+    keyed = docs.withColumn("_key", _text_key(F.col(host), F.col(text)))
+    touched = keyed.join(gone.select(F.col("key").alias("_key")).distinct(), "_key", "left_semi")
+    h = F.coalesce(F.col(host), F.lit("\0"))
+    hashed = touched.select("_key", F.transform(_lines(F.col(text), blank=True), lambda x: F.xxhash64(h, x)).alias("lines"))
+    # copies of a text have the same lines: one row for each place
+    places = hashed.select("_key", F.posexplode("lines").alias("place", "line")).groupBy("_key", "place").agg(F.first("line").alias("line"))
+    found = places.join(gone.select("line", F.col("key").alias("_key")), ["_key", "line"])
+    cuts = found.groupBy("_key").agg(F.sort_array(F.collect_list("place")).alias("_cuts"))
+    parts = F.split(F.col(text), "\n")
+    # the array binds lines and ends once; a stretch goes from behind one line that goes to the next
+    bound = F.array(F.struct(parts.alias("lines"), F.concat(F.array(F.lit(-1)), "_cuts", F.array(F.size(parts))).alias("ends")))
+    stretches = F.transform(bound, lambda x: F.zip_with(F.slice(x["ends"], 1, F.size(x["ends"]) - 1), F.slice(x["ends"], 2, F.size(x["ends"]) - 1), lambda a, b: F.slice(x["lines"], a + 2, b - a - 1)))
+    cleaned = F.array_join(F.flatten(F.flatten(stretches)), "\n")
+    return keyed.join(cuts, "_key", "left").withColumn(text, F.when(F.col("_cuts").isNull(), F.col(text)).otherwise(cleaned)).select(own)
+
+
 def base_features(docs: DataFrame, text: str = "text") -> DataFrame:
     """The frame with ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words`` as longs.
 
@@ -108,13 +137,37 @@ def assess(
     Columns of the caller that begin with an underscore, or have a result's name, aren't allowed
     to clash: their values are dropped first.
     """
+    return _assessed(docs, surplus(cut(line_counts(docs, text, host, doc_id)), max_docs), text, host, max_removed)
+
+
+def clean(
+    docs: DataFrame,
+    text: str = "text",
+    host: str = "source",
+    doc_id: str = "doc_id",
+    max_docs: int = 20,
+    max_removed: float = 0.8,
+) -> DataFrame:
+    """The rows that :func:`assess` keeps, with the given columns and without the lines above the limit.
+
+    A line that over ``max_docs`` different texts of a host share stays in the first of them
+    alone. The base rules judge the text as it came. ``n_chars`` follows the text where the
+    frame has it.
+    """
+    gone = cut(surplus(cut(line_counts(docs, text, host, doc_id)), max_docs))
+    kept = _assessed(docs, gone, text, host, max_removed).where("kept").select(docs.columns)
+    cleaned = without_lines(kept, gone, text, host)
+    return cleaned.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cleaned
+
+
+def _assessed(docs: DataFrame, gone: DataFrame, text: str, host: str, max_removed: float) -> DataFrame:
     made = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     docs = docs.drop(*made, "_w", "_l", "_h", "_s", "_f", "_key", "lost")
-    gone = depleted(cut(line_counts(docs, text, host, doc_id)), max_docs, max_removed).select(F.col("key").alias("_key"), "lost")
+    lost = depleted(gone, max_removed).select(F.col("key").alias("_key"), "lost")
     keyed = base_features(docs.withColumn("_key", _text_key(F.col(host), F.col(text))), text)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return (
-        keyed.join(gone, "_key", "left")
+        keyed.join(lost, "_key", "left")
         .withColumn("base_failed", failed)
         .withColumn("kept", ~failed & F.col("lost").isNull())
         .drop("_key", "lost")
