@@ -365,3 +365,15 @@ def test_frequent_lines_go_from_kept_documents(spark):
         assert got[0] == texts[0] and got[101] == texts[4] and got[102] == own(50)
         assert all(got[i] == f"\n{own(i)}\nlast {name(i)}" for i in range(1, 30)) and got[100] == got[3]
     assert quality.clean(documents(spark, [])).count() == 0
+
+
+def test_small_sources_land_beside_a_hot_one(spark):
+    rng = random.Random(8)
+    hot = [(i, 0, rng.randint(50, 400), rng.getrandbits(60), 0.3) for i in range(2 * mixing.BLOCK + 500)]
+    small = [(10**6 + i, 1, 20_000 if i == 7 else rng.randint(20, 400), rng.getrandbits(60), 0.45) for i in range(500)]
+    rows = hot + small
+    picked = {r.unit: r.picked for r in mixing.sample(spark.createDataFrame(rows, "unit long, source_no int, size long, order long, p double")).collect()}
+    assert set(picked.values()) <= {0, 1} and len(picked) == len(rows)
+    for own in (hot, small):
+        goal = sum(r[2] * r[4] for r in own)
+        assert abs(sum(r[2] * picked[r[0]] for r in own) - goal) <= 0.01 * goal

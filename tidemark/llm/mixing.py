@@ -69,6 +69,33 @@ def _fly(p: list[float], size: list[float], rng: random.Random) -> list[int]:
     return held
 
 
+def _settle(p: list[float], size: list[float], heavy: list[int], others: list[int], rng: random.Random) -> None:
+    """Flies the ``heavy`` items to 0 or 1, in place, each against all open ``others`` together.
+
+    In steps of three, short items settle while a long one hardly moves, and it stays open until
+    nothing can make up for it. A step here moves all others a little, along a direction in which
+    both totals stay; its mean is zero too. An item that the others can't balance stays open.
+    """
+    eps, x, s = 1e-9, np.array(p), np.array(size)
+    for a in heavy:
+        while eps < x[a] < 1 - eps:
+            near = np.array([i for i in others if 0 < x[i] < 1], np.int64)
+            w = x[near] * (1 - x[near])
+            mean = (w * s[near]).sum() / w.sum() if len(near) else 0.0
+            spread = (w * (s[near] - mean) ** 2).sum()
+            if len(near) < 3 or spread <= eps:
+                break
+            u = np.append(-w * (1 / w.sum() + (s[a] - mean) * (s[near] - mean) / spread), 1.0)
+            at = np.append(near, a)
+            moved, rate = u != 0, np.where(u == 0, 1.0, u)
+            up = np.where(u > 0, (1 - x[at]) / rate, -x[at] / rate)[moved].min()
+            down = np.where(u > 0, x[at] / rate, (x[at] - 1) / rate)[moved].min()
+            step = up if rng.random() * (up + down) < down else -down
+            x[at] = np.clip(x[at] + step * u, 0.0, 1.0)
+            x[at] = np.where((x[at] < eps) | (x[at] > 1 - eps), x[at].round(), x[at])
+    p[:] = x.tolist()
+
+
 def _land(p: list[float], size: list[float], held: list[int]) -> None:
     """Settles the last open items, ``LANDING + 2`` at most, by the choice nearest to their expected tokens.
 
@@ -84,19 +111,26 @@ def _land(p: list[float], size: list[float], held: list[int]) -> None:
         p[i] = float(x)
 
 
-def _flight(last: bool):
+def _flight(final: frozenset[int]):
+    """The flight of a block; sources in ``final`` have one block and land, others hand on their open items."""
+
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["size", "order", "unit"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
         p, size = rows["p"].tolist(), rows["size"].astype(float).tolist()
+        rng = random.Random(zlib.crc32(repr((int(key[0]), int(key[1]), len(p))).encode()))
+        # the longest settle first, while many others can make up for them
+        heavy = LANDING if len(p) > 4 * LANDING else 0
         # items of all sizes wait for the landing, so that their sums come near any total
-        waiting = sorted({len(p) * i // LANDING for i in range(LANDING)}) if last and p else []
+        waiting = sorted({heavy + (len(p) - heavy) * i // LANDING for i in range(LANDING)}) if p else []
         kept = [p[i] for i in waiting]
         for i in waiting:
             p[i] = 0.0
-        held = _fly(p, size, random.Random(zlib.crc32(repr((int(key[0]), int(key[1]), len(p))).encode())))
+        if heavy:
+            _settle(p, size, list(range(heavy)), list(range(heavy, len(p))), rng)
+        held = _fly(p, size, rng)
         for i, x in zip(waiting, kept, strict=True):
             p[i] = x
-        if last:
+        if int(key[0]) in final:
             _land(p, size, [*held, *waiting])
         return rows.assign(p=p)[["unit", "source_no", "size", "order", "p"]]
 
@@ -107,8 +141,9 @@ def sample(units: DataFrame) -> DataFrame:
     """Cube sampling of ``units (unit, source_no, size, order, p)``; returns ``(unit, picked)``.
 
     Every source flies in blocks of about ``BLOCK`` rows, dealt by ``order``. A block leaves two open
-    items at most; these meet in ever fewer blocks until a source has one, which also lands. A
-    source's tokens and items keep their expected totals but for the landing.
+    items and the ``LANDING`` of all sizes that wait; these meet in ever fewer blocks until the
+    source has one, which also lands, whatever blocks other sources still have. A source's tokens
+    and items keep their expected totals but for the landing.
     """
     ship(units.sparkSession)
     schema = "unit long, source_no int, size long, order long, p double"
@@ -119,17 +154,17 @@ def sample(units: DataFrame) -> DataFrame:
         count = F.lit(1)
         for no, n in blocks.items():
             count = F.when(F.col("source_no") == no, n).otherwise(count)
-        last = all(n == 1 for n in blocks.values())
+        final = frozenset(no for no, n in blocks.items() if n == 1)
         open_rows = (F.col("p") > 0) & (F.col("p") < 1)
-        flown = cut(level.where(open_rows).withColumn("block", F.pmod(F.xxhash64("order", F.lit(len(settled))), count)).groupBy("source_no", "block").applyInPandas(_flight(last), schema))
+        flown = cut(level.where(open_rows).withColumn("block", F.pmod(F.xxhash64("order", F.lit(len(settled))), count)).groupBy("source_no", "block").applyInPandas(_flight(final), schema))
         settled += [level.where(~open_rows), flown.where(~open_rows)] if not settled else [flown.where(~open_rows)]
-        if last:
+        if len(final) == len(blocks):
             picked = settled[0]
             for more in settled[1:]:
                 picked = picked.union(more)
             return picked.select("unit", F.col("p").cast("long").alias("picked"))
         level = flown.where(open_rows)
-        blocks = {no: max(1, math.ceil(2 * n / BLOCK)) for no, n in blocks.items()}
+        blocks = {no: max(1, min(n - 1, math.ceil((LANDING + 2) * n / BLOCK))) for no, n in blocks.items() if n > 1}
 
 
 def plan(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", weights: tuple[int, ...] = (1, 2, 3), most: float = 3.0) -> DataFrame:
