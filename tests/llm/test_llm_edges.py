@@ -377,3 +377,14 @@ def test_small_sources_land_beside_a_hot_one(spark):
     for own in (hot, small):
         goal = sum(r[2] * r[4] for r in own)
         assert abs(sum(r[2] * picked[r[0]] for r in own) - goal) <= 0.01 * goal
+
+
+def test_stage_links_pairs_of_four_fifths(spark):
+    words = [f"{'abcdefghij'[i % 10]}{i}" for i in range(400)]
+    other = list(words)
+    for i in range(8):
+        other[20 + 45 * i] = f"z{i}"
+    a, b = (set(minhash.shingles(" ".join(w)).tolist()) for w in (words, other))
+    assert 0.81 < len(a & b) / len(a | b) < 0.83
+    docs = documents(spark, [(1, " ".join(words), "a"), (2, " ".join(other), "a"), (3, "quite another text of more than five words", "a")])
+    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()) == [1, 3]

@@ -31,7 +31,7 @@ ORDERS = [0x5DEECE66D1A2B3C4, 0x2545F4914F6CDD1D, 0x369DEA0F31A53F85, 0x1B873593
 #: Counters that tell rare shingles from frequent ones; more shingles than counters only blur the order.
 COUNTERS = 1 << 21
 #: A pair is linked if 100 * common >= PERCENT * union.
-PERCENT = 85
+PERCENT = 80
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
 _LOG = np.log(BASE)

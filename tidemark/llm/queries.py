@@ -17,7 +17,7 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
