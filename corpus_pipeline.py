@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm import minhash, mixing, packing, quality, toxicity
 from tidemark.llm.shared import shared_dir, table
@@ -27,10 +28,13 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates, once; null ids stay."""
-    found = minhash.near_duplicates(docs)
-    heads = found.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(heads, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """The document with the smallest id, then text key, of each group of near duplicates, once; null ids stay.
+
+    Different texts under one id stay if they are in different groups.
+    """
+    heads = minhash.linked_rows(docs).where("head").select("doc_id", F.col("tkey").alias("_tkey")).distinct()
+    keyed = docs.withColumn("_tkey", F.xxhash64("text"))
+    kept = keyed.join(heads, ["doc_id", "_tkey"], "left_semi").dropDuplicates(["doc_id", "_tkey"]).drop("_tkey")
     return kept.unionByName(docs.where("doc_id IS NULL")).select(docs.columns)
 
 

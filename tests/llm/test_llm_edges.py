@@ -388,3 +388,13 @@ def test_stage_links_pairs_of_four_fifths(spark):
     assert 0.81 < len(a & b) / len(a | b) < 0.83
     docs = documents(spark, [(1, " ".join(words), "a"), (2, " ".join(other), "a"), (3, "quite another text of more than five words", "a")])
     assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()) == [1, 3]
+
+
+def test_short_copies_and_repeated_ids(spark):
+    assert minhash.shingles("x x x x x").tolist() == minhash.shingles("X x x x x x").tolist()
+    one, two, three = (" ".join(f"{c}{i}" for i in range(40)) for c in "abc")
+    rows = [(1, one, "a"), (2, two, "a"), (2, three, "a"), (2, three, "a"), (3, one, "a"), (3, two, "b"), (4, "x x x x x", "a"), (5, "x x x x x x", "a"), (6, None, "a"), (None, one, "a")]
+    docs = documents(spark, rows)
+    # id 2 keeps both of its texts, id 3 none: each of its texts is a copy
+    got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, docs, "").collect()), key=repr)
+    assert got == sorted([(1, one), (2, two), (2, three), (4, "x x x x x"), (6, None), (None, one)], key=repr)

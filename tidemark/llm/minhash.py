@@ -42,7 +42,7 @@ def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
     found = WORD.findall(text.translate(LOWER)) if text else []
     if not found:
         return np.empty(0, np.uint64)
-    if len(found) <= width:
+    if len(found) < width:
         return np.array([xxhash.xxh3_64_intdigest(" ".join(found))], np.uint64)
     # a hash of word hashes in order: one vector operation for each place in the shingle
     seen: dict[str, int] = {}
@@ -290,6 +290,15 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     is one with a null id, whose component is null. Rows with the same id and different texts
     are linked by their own texts each. Ties have no meaning here; no rows give no rows.
     """
+    return linked_rows(docs, text, doc_id, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def linked_rows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT) -> DataFrame:
+    """Rows of :func:`near_duplicates` with ``tkey``, the text's hash, and ``head``.
+
+    ``head`` holds for the rows with the smallest ``(doc_id, tkey)`` of their component and
+    for rows without a word; it is false for null ids.
+    """
     ship(docs.sparkSession)
     keyed = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), F.xxhash64(F.col(text)).alias("tkey"))
     rows = cut(sketches(docs, text, doc_id))
@@ -320,7 +329,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         more = _verified(across, texts, percent)
         roots = roots if more.isEmpty() else connected(links.union(more))
     named = _roots(classes.select("cls", "first"), roots, "cls")
-    ids = named.groupBy("root_cls").agg(F.min("first.doc_id").alias("component_id"))
-    by_class = named.select("cls", "root_cls").join(ids, "root_cls").select("cls", "component_id")
+    ids = named.groupBy("root_cls").agg(F.min("first").alias("least")).select("root_cls", F.col("least.doc_id").alias("component_id"), F.col("least.tkey").alias("head_key"))
+    by_class = named.select("cls", "root_cls").join(ids, "root_cls").select("cls", "component_id", "head_key")
     linked = F.when(F.col("cls").isNotNull() & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
-    return rows.join(by_class, "cls", "left").select("doc_id", F.col("n").alias("n_shingles"), linked.alias("component_id"))
+    head = (F.col("doc_id") == linked) & (F.col("cls").isNull() | (F.col("tkey") == F.col("head_key")))
+    return rows.join(by_class, "cls", "left").select("doc_id", F.col("n").alias("n_shingles"), linked.alias("component_id"), "tkey", F.coalesce(head, F.lit(False)).alias("head"))
