@@ -398,3 +398,14 @@ def test_short_copies_and_repeated_ids(spark):
     # id 2 keeps both of its texts, id 3 none: each of its texts is a copy
     got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, docs, "").collect()), key=repr)
     assert got == sorted([(1, one), (2, two), (2, three), (4, "x x x x x"), (6, None), (None, one)], key=repr)
+
+
+def test_special_strings_are_encoded_as_the_library_does():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokens.vocabulary_path())
+    texts = ["a b <|endoftext|> c d", "end.<|endoftext|>Begin, x", "x<|endoftext|>", " <|endoftext|>", "a <|endoftext|><|endoftext|>  b. <|endoftext|", "word  <|endoftext|>\n a .<|endoftext|>, b"]
+    for text, got in zip(texts, tokens.encode(texts), strict=True):
+        want = plain.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(got, "<u4").tolist() == [*want, tokens.END_ID]
+    assert 50256 in plain.encode(texts[0], add_special_tokens=False).ids

@@ -18,7 +18,7 @@ END_ID = 2
 CACHE = 1_500_000
 #: Places where the vocabulary's own splitting always ends a piece: before a single space between
 #: two visible characters, and between a Latin letter and a full stop or comma. Texts cut there
-#: give the ids of the whole text.
+#: give the ids of the whole text. None lies within the string of the special token.
 CUTS = re.compile(r"(?<=[!-~\w])(?= [!-~\w])|(?<=[A-Za-zÀ-ÖØ-öø-ÿ])(?=[.,])")
 
 _cache: dict[str, bytes] = {}
@@ -31,9 +31,7 @@ def _tokenizer(path: str):
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
-    made = Tokenizer.from_file(path)
-    made.encode_special_tokens = True  # their strings in a text are ordinary text
-    return made
+    return Tokenizer.from_file(path)
 
 
 def vocabulary_path() -> str:
