@@ -14,6 +14,8 @@ from tidemark.llm.shared import cut, words
 SYMBOLS = "#*$%&|<>"
 #: White space of the word rule.
 BLANKS = " \t\n\x0b\x0c\r"
+#: Columns that :func:`assess` adds.
+MADE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
 
 
 def _lines(text: Column, blank: bool = False) -> Column:
@@ -75,48 +77,59 @@ def without_lines(docs: DataFrame, gone: DataFrame, text: str = "text", host: st
     """The frame with every text without its lines ``gone``, in order; the other lines stay as they are.
 
     Only hashes and places of lines are exchanged to find them. A text is put together from
-    the stretches between the lines that go, which is linear in its length.
+    the stretches between the lines that go, which is linear in its length. The caller's columns
+    travel in one struct, so none of their names can clash.
     """
-    own = docs.columns
-    keyed = docs.withColumn("_key", _text_key(F.col(host), F.col(text)))
-    touched = keyed.join(gone.select(F.col("key").alias("_key")).distinct(), "_key", "left_semi")
-    h = F.coalesce(F.col(host), F.lit("\0"))
-    hashed = touched.select("_key", F.transform(_lines(F.col(text), blank=True), lambda x: F.xxhash64(h, x)).alias("lines"))
+    keyed = docs.select(F.struct(*_named(docs)).alias("own"), F.col(text).alias("text"), F.coalesce(F.col(host), F.lit("\0")).alias("h"), _text_key(F.col(host), F.col(text)).alias("key"))
+    touched = keyed.join(gone.select("key").distinct(), "key", "left_semi")
+    hashed = touched.select("key", F.transform(_lines(F.col("text"), blank=True), lambda x: F.xxhash64("h", x)).alias("lines"))
     # copies of a text have the same lines: one row for each place
-    places = hashed.select("_key", F.posexplode("lines").alias("place", "line")).groupBy("_key", "place").agg(F.first("line").alias("line"))
-    found = places.join(gone.select("line", F.col("key").alias("_key")), ["_key", "line"])
-    cuts = found.groupBy("_key").agg(F.sort_array(F.collect_list("place")).alias("_cuts"))
-    parts = F.split(F.col(text), "\n")
+    places = hashed.select("key", F.posexplode("lines").alias("place", "line")).groupBy("key", "place").agg(F.first("line").alias("line"))
+    found = places.join(gone.select("line", "key"), ["key", "line"])
+    cuts = found.groupBy("key").agg(F.sort_array(F.collect_list("place")).alias("cuts"))
+    parts = F.split(F.col("text"), "\n")
     # the array binds lines and ends once; a stretch goes from behind one line that goes to the next
-    bound = F.array(F.struct(parts.alias("lines"), F.concat(F.array(F.lit(-1)), "_cuts", F.array(F.size(parts))).alias("ends")))
+    bound = F.array(F.struct(parts.alias("lines"), F.concat(F.array(F.lit(-1)), "cuts", F.array(F.size(parts))).alias("ends")))
     stretches = F.transform(bound, lambda x: F.zip_with(F.slice(x["ends"], 1, F.size(x["ends"]) - 1), F.slice(x["ends"], 2, F.size(x["ends"]) - 1), lambda a, b: F.slice(x["lines"], a + 2, b - a - 1)))
     cleaned = F.array_join(F.flatten(F.flatten(stretches)), "\n")
-    return keyed.join(cuts, "_key", "left").withColumn(text, F.when(F.col("_cuts").isNull(), F.col(text)).otherwise(cleaned)).select(own)
+    rest = F.when(F.col("cuts").isNull(), F.col("text")).otherwise(cleaned)
+    return keyed.join(cuts, "key", "left").select(*[rest.alias(c) if c == text else F.col("own")[c].alias(c) for c in docs.columns])
 
 
-def base_features(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The frame with ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words`` as longs.
+def _named(docs: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in docs.columns]
 
-    Repeated windows are found by sorting the window hashes of one text, so the work is
-    n log n in its words, and only where an equal pair exists.
+
+def base_features(text: Column) -> Column:
+    """A struct of ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words`` as longs.
+
+    Every intermediate array is bound once, as the variable of a function over an array of one,
+    so the text is split once whatever is built on the result. Repeated windows are found by sorting
+    the window hashes of one text, so the work is n log n in its words, and only where an equal pair exists.
     """
-    t = F.coalesce(F.col(text), F.lit(""))
-    own = [F.col(c) for c in docs.columns]
+    t = F.coalesce(text, F.lit(""))
     lines = F.filter(F.split(t, "\n"), lambda x: F.length(F.trim(F.translate(x, BLANKS[1:], " " * 5))) > 0)
-    first = docs.select(*own, words(F.col(text)).alias("_w"), lines.alias("_l"))
-    pairs = first.select(
-        *own,
-        F.size("_w").cast("long").alias("n_words"),
-        (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        F.aggregate("_w", F.lit(0), lambda a, w: a + F.length(w)).cast("long").alias("word_chars"),
-        (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
-        F.expr("CASE WHEN size(_w) > 3 THEN transform(sequence(0, size(_w) - 3), i -> xxhash64(_w[i], _w[i + 1], _w[i + 2])) END").alias("_h"),
-    )
-    kept = [*docs.columns, "n_words", "word_chars", "n_symbols", "n_dup_lines"]
-    ranked = pairs.select(*kept, F.expr("CASE WHEN size(array_distinct(_h)) < size(_h) THEN array_sort(transform(_h, (h, i) -> struct(h, i))) END").alias("_s"))
-    found = ranked.select(*kept, F.expr("filter(_s, (x, i) -> (i > 0 AND _s[i - 1].h = x.h) OR (i < size(_s) - 1 AND _s[i + 1].h = x.h))").alias("_f"))
-    covered = F.size(F.array_distinct(F.flatten(F.transform("_f", lambda x: F.array(x["i"], x["i"] + 1, x["i"] + 2)))))
-    return found.select(*kept, F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"))
+    bind = lambda value, made: F.element_at(F.transform(F.array(value), made), 1)
+
+    def repeated(w: Column) -> Column:
+        size = F.size(w)
+        at = lambda h: F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+        twin = lambda s: F.filter(s, lambda x, i: ((i > 0) & (F.get(s, i - 1)["h"] == x["h"])) | ((i < F.size(s) - 1) & (F.get(s, i + 1)["h"] == x["h"])))
+        covered = lambda f: F.size(F.array_distinct(F.flatten(F.transform(f, lambda x: F.array(x["i"], x["i"] + 1, x["i"] + 2)))))
+        found = lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), bind(at(h), lambda s: bind(twin(s), covered))).otherwise(0)
+        hashes = F.transform(F.sequence(F.lit(0), size - 3), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
+        return F.when(size > 3, bind(hashes, found)).otherwise(0).cast("long")
+
+    def made(w: Column, l: Column) -> Column:  # noqa: E741
+        return F.struct(
+            F.size(w).cast("long").alias("n_words"),
+            F.aggregate(w, F.lit(0), lambda a, x: a + F.length(x)).cast("long").alias("word_chars"),
+            (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+            (F.size(l) - F.size(F.array_distinct(l))).cast("long").alias("n_dup_lines"),
+            repeated(w).alias("n_repeat_words"),
+        )
+
+    return bind(words(text), lambda w: bind(lines, lambda l: made(w, l)))
 
 
 def assess(
@@ -134,10 +147,11 @@ def assess(
     ``max_removed`` of their words with the lines that over ``max_docs`` different texts of their
     host share. A null text has no words and fails; null hosts are one host; repeated rows and
     exact copies share a verdict; of ties for the first text of a line the smaller key keeps it.
-    Columns of the caller that begin with an underscore, or have a result's name, aren't allowed
-    to clash: their values are dropped first.
+    Columns of the caller that have a result's name give way to the result; all others pass.
     """
-    return _assessed(docs, surplus(cut(line_counts(docs, text, host, doc_id)), max_docs), text, host, max_removed)
+    judged = _judged(docs, surplus(cut(line_counts(docs, text, host, doc_id)), max_docs), text, host, max_removed)
+    own = [c for c in docs.columns if c not in MADE]
+    return judged.select(*[F.col("own")[c].alias(c) for c in own], *[F.col("made")[c].alias(c) for c in MADE[:5]], "base_failed", "kept")
 
 
 def clean(
@@ -155,21 +169,18 @@ def clean(
     frame has it.
     """
     gone = cut(surplus(cut(line_counts(docs, text, host, doc_id)), max_docs))
-    kept = _assessed(docs, gone, text, host, max_removed).where("kept").select(docs.columns)
+    kept = _judged(docs, gone, text, host, max_removed).where("kept").select("own.*")
     cleaned = without_lines(kept, gone, text, host)
     return cleaned.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cleaned
 
 
-def _assessed(docs: DataFrame, gone: DataFrame, text: str, host: str, max_removed: float) -> DataFrame:
-    made = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
-    docs = docs.drop(*made, "_w", "_l", "_h", "_s", "_f", "_key", "lost")
-    lost = depleted(gone, max_removed).select(F.col("key").alias("_key"), "lost")
-    keyed = base_features(docs.withColumn("_key", _text_key(F.col(host), F.col(text))), text)
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return (
-        keyed.join(lost, "_key", "left")
-        .withColumn("base_failed", failed)
-        .withColumn("kept", ~failed & F.col("lost").isNull())
-        .drop("_key", "lost")
-    )
+def _judged(docs: DataFrame, gone: DataFrame, text: str, host: str, max_removed: float) -> DataFrame:
+    """Rows ``(own, made, base_failed, kept)``: the caller's row, the base features and the verdicts.
 
+    The features come out of a generator, below which no filter on them can be pushed: they
+    are computed once for each row, whatever is asked of the result.
+    """
+    lost = depleted(gone, max_removed).select("key", "lost")
+    keyed = docs.select(F.struct(*_named(docs)).alias("own"), _text_key(F.col(host), F.col(text)).alias("key"), F.explode(F.array(base_features(F.col(text)))).alias("made"))
+    failed = (F.col("made.n_words") < 50) | (100 * F.col("made.n_repeat_words") > 50 * F.col("made.n_words"))
+    return keyed.join(lost, "key", "left").select("own", "made", failed.alias("base_failed"), (~failed & F.col("lost").isNull()).alias("kept"))
