@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, licenses, minhash, mixing, packing, quality, sharding, spelling, token_files, toxicity, warc
+from tidemark.llm import ann, licenses, minhash, mixing, packing, prefix_trie, quality, sharding, spelling, token_files, toxicity, warc
 from tidemark.llm.shared import table
 
 
@@ -57,6 +57,10 @@ def histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
@@ -72,5 +76,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_revisit_resolution": revisit_records,
     "op9_license_scan": license_scan,
     "op10_histogram_shards": histogram_shards,
+    "op11_hash_trie": conversation_trie,
     "op13_gram_spelling": spelling_variants,
 }
