@@ -20,7 +20,7 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
-    for table in ("documents", "pages", "embeddings", "labels"):
+    for table in ("documents", "pages", "embeddings", "labels", "conversations"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     return connection
 
@@ -33,7 +33,6 @@ def texts(duck):
 @pytest.fixture(scope="module")
 def ids(texts):
     plain = Tokenizer.from_file(tokens.vocabulary_path())
-    plain.encode_special_tokens = True
     return {k: [*plain.encode(t or "", add_special_tokens=False).ids, tokens.END_ID] for k, t in texts.items()}
 
 

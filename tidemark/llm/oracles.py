@@ -95,4 +95,85 @@ SELECT page_id * 2 + 1 AS record_id, canonical_url, "at", found * 2 AS response_
 FROM s
 """
 
-ORACLES = {"op1_line_frequency": QUALITY, "op2_setsketch_dedup": DEDUP, "op8_revisit_resolution": REVISITS}
+#: crc32 byte by byte: the change that each value of a byte makes. A step needs ``texts (id, t)``.
+_CRC = """
+bits(k, v, s) AS (
+  SELECT i, i, 0 FROM range(256) AS r(i)
+  UNION ALL SELECT k, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, s + 1 FROM bits WHERE s < 8
+), changes AS (
+  SELECT k, v FROM bits WHERE s = 8
+), bytes(t, x, i, v) AS (
+  SELECT t, hex(encode(t)), 0, 4294967295 FROM texts
+  UNION ALL
+  SELECT t, x, i + 1, xor(b.v >> 8, c.v) FROM bytes b JOIN changes c ON c.k = xor(b.v, ('0x' || x[2 * i + 1:2 * i + 2])::BIGINT) & 255
+  WHERE i < strlen(t)
+), crc AS (
+  SELECT t, xor(v, 4294967295) AS h FROM bytes WHERE i = strlen(t)
+)"""
+
+TRIE = f"""
+WITH RECURSIVE texts AS (
+  SELECT DISTINCT conv_id::VARCHAR AS t FROM conversations WHERE conv_id IS NOT NULL
+), {_CRC}, turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, list(md5(role || chr(1) || text) ORDER BY turn NULLS FIRST, role, text) AS x, list(strlen(text) ORDER BY turn NULLS FIRST, role, text) AS b
+  FROM turns GROUP BY conv_id
+), whole AS (
+  SELECT o.conv_id, list_concat(coalesce(f.x, [])[1:h % 9], o.x[h % 9 + 1:]) AS x, list_concat(coalesce(f.b, [])[1:h % 9], o.b[h % 9 + 1:]) AS b
+  FROM own o JOIN crc ON t = o.conv_id::VARCHAR LEFT JOIN own f ON f.conv_id = o.conv_id - o.conv_id % 5
+), prefixes AS (
+  SELECT conv_id, d, x[1:d] AS p, CASE WHEN d > 0 THEN b[d] ELSE 0 END AS last, d = len(x) AS ends
+  FROM (SELECT *, unnest(range(0, len(x) + 1)) AS d FROM whole)
+), nodes AS (
+  SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(last) AS saved, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends) AS ids
+  FROM prefixes GROUP BY p, d
+), children AS (
+  SELECT p[1:d - 1] AS p, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1
+), known AS (
+  SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN children USING (p)
+), subtrees AS (
+  SELECT p[1:a] AS p, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS leaves, sum(saved) AS saved
+  FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM known) GROUP BY 1
+)
+SELECT k.conv_id, k.d AS depth, u.conv_id AS parent_conv_id, k.n_convs, k.n_children, leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens,
+  sha256(coalesce(k.ids, '')) AS ends_sha256
+FROM known k JOIN subtrees s ON s.p = k.p LEFT JOIN nodes u ON k.d > 0 AND u.p = k.p[1:k.d - 1]
+"""
+
+SPELLING = f"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS run FROM documents) GROUP BY ALL
+), texts AS (
+  SELECT DISTINCT coalesce(doc_id::VARCHAR, '') || ':' || run AS t FROM runs WHERE length(run) >= 5
+), {_CRC}, vocabulary AS (
+  SELECT CASE WHEN h % 97 = 0 THEN run[1:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, sum(n)::BIGINT AS n
+  FROM runs JOIN crc ON t = coalesce(doc_id::VARCHAR, '') || ':' || run GROUP BY 1 HAVING sum(n) >= 3 AND length(word) >= 5
+), gaps AS (
+  SELECT word, n, word[1:i - 1] || '_' || word[i + 1:] AS gap FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM vocabulary)
+  UNION ALL
+  SELECT word, n, word[1:i - 1] || '_' || word[i:] AS gap FROM (SELECT *, unnest(range(1, length(word) + 2)) AS i FROM vocabulary)
+), near AS (
+  SELECT DISTINCT a.word, a.n, b.word AS other, b.n AS other_n FROM gaps a JOIN gaps b USING (gap) WHERE a.word <> b.word
+), best AS (
+  SELECT word, n, count(*) OVER (PARTITION BY word) AS n_near, other, other_n FROM near
+  QUALIFY row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) = 1
+), forms AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * v.n THEN other END AS form, CASE WHEN other_n >= 2 * v.n THEN other_n END AS form_n
+  FROM vocabulary v LEFT JOIN best USING (word)
+), paths(word, seen) AS (
+  SELECT word, word FROM forms
+  UNION ALL SELECT p.word, f.form FROM paths p JOIN forms f ON f.word = p.seen WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, p.seen AS root, f.n, f.n_near, f.form_n
+FROM forms f JOIN paths p ON p.word = f.word JOIN forms r ON r.word = p.seen AND r.form IS NULL
+"""
+
+ORACLES = {
+    "op1_line_frequency": QUALITY,
+    "op2_setsketch_dedup": DEDUP,
+    "op8_revisit_resolution": REVISITS,
+    "op11_hash_trie": TRIE,
+    "op13_gram_spelling": SPELLING,
+}

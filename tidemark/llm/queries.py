@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, licenses, minhash, mixing, packing, prefix_trie, quality, sharding, spelling, token_files, toxicity, warc
+from tidemark.llm import ann, licenses, minhash, mixing, packing, pii, prefix_trie, quality, sharding, spelling, token_files, toxicity, warc
 from tidemark.llm.shared import table
 
 
@@ -61,6 +61,10 @@ def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
 
 
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.find(table(spark, sf_dir, "documents")))
+
+
 def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
@@ -77,5 +81,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_license_scan": license_scan,
     "op10_histogram_shards": histogram_shards,
     "op11_hash_trie": conversation_trie,
+    "op12_weak_pii": personal_data,
     "op13_gram_spelling": spelling_variants,
 }
