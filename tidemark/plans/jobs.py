@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.span import ReportSpan, report_span, single
-from tidemark.operators.canonical import merge_latest
+from tidemark.operators.canonical import latest_version, merge_latest
 from tidemark.operators.ingest import (
     backfill_touch_date,
     idempotent_append,
@@ -38,7 +38,7 @@ from tidemark.schemas import (
     RUN_LOG,
     conform,
 )
-from tidemark.sources import versions
+from tidemark.sources import membership, versions
 from tidemark.sources.storage import (
     append,
     delete_folder,
@@ -58,6 +58,9 @@ EXPORT_ORDER = {
 # Tables whose newest versions are kept by month of a date; the others by a hash of the key.
 BY_MONTH = {"marketing_touch": "touch_date", "application": "application_date"}
 BUCKETS = 64
+# Newest versions of single loads; folded when they hold more than one in FOLD of the events.
+RECENT = "recent"
+FOLD = 8
 
 
 class RunFailure(RuntimeError):
@@ -108,39 +111,72 @@ def stage_events(
     """Write the unseen events of a batch and the newest versions they change.
 
     Returns the rows added and the entries with the new folders; nothing is current yet.
-    All tables are checked before anything is written. Only the parts that hold a key
-    of the batch are ranked and written again.
+    All tables are checked before anything is written. Stored ids and newest versions are read
+    where the batch can meet them, and what is written follows the size of the batch.
     """
     batch = {name: checked(name, batch[name]) for name in KEYS if name in batch}
     version = _version()
 
     def load(name):
-        unseen = idempotent_append(raw_table(spark, root, name, entries), batch[name])
+        known = entries
+        if any(t == f"raw/{name}" for t, _ in known) and not any(t == f"ids/{name}" for t, _ in known):
+            # events stored before ids were indexed
+            old = raw_table(spark, root, name, known)
+            known = membership.add_run(spark, root, known, name, old, old.count(), f"{version}i")
+        ids = membership.known_ids(spark, root, known, name, batch[name])
+        unseen = idempotent_append(ids, batch[name])
         added, raw = versions.stage(unseen, root, f"raw/{name}", version)
         if not added:
-            return name, 0, {}, {}, set()
+            return 0, {}, set()
         new = raw_table(spark, root, name, {(f"raw/{name}", v): p for v, p in raw.items()})
-        stored = _newest(spark, root, name, entries)
-        placed = new.withColumn("part", _part_of(name))
-        touched = {r["part"] for r in placed.select("part").distinct().collect()}
-        if name in BY_MONTH:
-            # a correction may move a row to another month
-            keys = new.select(KEYS[name]).distinct()
-            moved = stored.select(KEYS[name], "part").join(keys, KEYS[name], "left_semi")
-            touched |= {r["part"] for r in moved.select("part").distinct().collect()}
-        beside = stored.filter(F.col("part").isin(sorted(touched))).drop("part")
-        newest = merge_latest(beside, new, KEYS[name]).withColumn("part", _part_of(name))
-        _, parts = versions.stage(newest, root, f"newest/{name}", version, "part")
-        return name, added, raw, parts, touched
-
-    total = 0
-    for name, added, raw, parts, touched in _in_parallel(
-        [lambda name=name: load(name) for name in batch]
-    ):
+        indexed = membership.add_run(spark, root, known, name, new, added, version)
+        newest, gone = _add_newest(spark, root, name, known, new, added, version)
+        fresh = {k: p for k, p in indexed.items() if known.get(k) != p or entries.get(k) != p}
+        gone |= {k for k in entries if k not in indexed}
+        return added, {**{(f"raw/{name}", v): p for v, p in raw.items()}, **fresh, **newest}, gone
+
+    total, made, gone = 0, {}, set()
+    for added, parts, left in _in_parallel([lambda name=name: load(name) for name in batch]):
         total += added
-        entries = versions.replaced(entries, f"raw/{name}", raw)
-        entries = versions.replaced(entries, f"newest/{name}", parts, touched)
-    return total, entries
+        made |= parts
+        gone |= left
+    return total, {**{k: p for k, p in entries.items() if k not in gone}, **made}
+
+
+def _add_newest(
+    spark, root, name, entries, new: DataFrame, added: int, version: str
+) -> tuple[versions.Entries, set]:
+    """Parts with the newest versions that the new events change, and the parts they replace.
+
+    The new events that are the newest of their key become a *recent* part, which goes before the
+    others when the table is read. Recent parts are folded into the others, of which
+    only those with a key of theirs are written again, when they
+    hold more than a share of all events; so what a load writes follows its batch.
+    """
+    table, key = f"newest/{name}", KEYS[name]
+    keys = new.select(key).distinct()
+    before = _newest(spark, root, name, entries).drop("part").join(keys, key, "left_semi")
+    won = merge_latest(before, new, key).join(new.select(membership.ID), membership.ID, "left_semi")
+    recent = {p: int(p.split("-")[1]) for (t, p) in entries if t == table and p.startswith(RECENT)}
+    events = added + sum(int(p.split("-")[0]) for (t, p) in entries if t == f"ids/{name}")
+    if (sum(recent.values()) + added) * FOLD <= events:
+        rows, parts = versions.stage(
+            won.withColumn("part", F.lit(RECENT)), root, table, version, "part"
+        )
+        return {(table, f"{RECENT}-{rows}-{version}"): p for p in parts.values()}, set()
+    base, late = _layers(spark, root, name, entries)
+    changed = latest_version(won if late is None else late.unionByName(won), key)
+    changed = changed.withColumn("part", _part_of(name))
+    touched = {r["part"] for r in changed.select("part").distinct().collect()}
+    if name in BY_MONTH:
+        # a correction may move a row to another month
+        moved = base.select(key, "part").join(changed.select(key), key, "left_semi")
+        touched |= {r["part"] for r in moved.select("part").distinct().collect()}
+    beside = base.filter(F.col("part").isin(sorted(touched)))
+    kept = beside.join(changed.select(key), key, "left_anti")
+    _, parts = versions.stage(kept.unionByName(changed), root, table, version, "part")
+    gone = {(table, p) for p in {*touched, *recent}}
+    return {(table, p): path for p, path in parts.items()}, gone
 
 
 def load_events(spark: SparkSession, root: str, batch: dict[str, DataFrame]) -> int:
@@ -157,12 +193,27 @@ def load_events(spark: SparkSession, root: str, batch: dict[str, DataFrame]) ->
 
 
 def _sweep(spark: SparkSession, root: str) -> None:
-    tables = [f"{kind}/{name}" for kind in ("raw", "newest") for name in KEYS]
+    tables = [f"{kind}/{name}" for kind in ("raw", "newest", "ids", "bloom") for name in KEYS]
     versions.sweep(spark, root, [*tables, *[f"mart/{name}" for name in MARTS]])
 
 
+def _layers(spark, root, name, entries) -> tuple[DataFrame, DataFrame | None]:
+    """Stored newest versions by part, and the recent ones that go before them, if there are any."""
+    table = f"newest/{name}"
+    stored = versions.read(spark, root, entries, table, EVENTS[name], "part")
+    if not any(t == table and p.startswith(RECENT) for t, p in entries):
+        return stored, None
+    return stored.filter(F.col("part") != RECENT), stored.filter(F.col("part") == RECENT).drop("part")
+
+
 def _newest(spark, root, name, entries) -> DataFrame:
-    return versions.read(spark, root, entries, f"newest/{name}", EVENTS[name], "part")
+    base, late = _layers(spark, root, name, entries)
+    if late is None:
+        return base
+    # a recent row was the newest of its key when it came, so stored rows with its key are older
+    late = latest_version(late, KEYS[name]).withColumn("part", _part_of(name))
+    kept = base.join(late.select(KEYS[name]), KEYS[name], "left_anti")
+    return kept.unionByName(late).select(*base.columns)
 
 
 def canonical_tables(
