@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.span import ReportSpan, report_span, single
+from tidemark.operators.affected import affected_dates, changed_images
 from tidemark.operators.canonical import latest_version, merge_latest
 from tidemark.operators.ingest import (
     backfill_touch_date,
@@ -60,6 +61,8 @@ BY_MONTH = {"marketing_touch": "touch_date", "application": "application_date"}
 BUCKETS = 64
 # Newest versions of single loads; folded when they hold more than one in FOLD of the events.
 RECENT = "recent"
+# Entries of this kind tell for which dates a mart holds what the current events give.
+BUILT = "built/"
 FOLD = 8
 
 
@@ -114,8 +117,20 @@ def stage_events(
     All tables are checked before anything is written. Stored ids and newest versions are read
     where the batch can meet them, and what is written follows the size of the batch.
     """
-    batch = {name: checked(name, batch[name]) for name in KEYS if name in batch}
     version = _version()
+    staging = f"{root}/staging/batch-{version}"
+    try:
+        return _staged(spark, root, entries, batch, version, staging)
+    finally:
+        delete_folder(spark, staging)
+
+
+def _staged(spark, root, entries, batch, version, staging) -> tuple[int, versions.Entries]:
+    # the batch is read several times, so it is taken from its source once
+    named = [name for name in KEYS if name in batch]
+    for name in named:
+        conform(batch[name], EVENTS[name]).write.parquet(f"{staging}/{name}")
+    batch = {n: checked(n, spark.read.schema(EVENTS[n]).parquet(f"{staging}/{n}")) for n in named}
 
     def load(name):
         known = entries
@@ -140,6 +155,8 @@ def stage_events(
         total += added
         made |= parts
         gone |= left
+    # marts aren't those of these events before they are refreshed
+    gone |= {k for k in entries if total and k[0].startswith(BUILT)}
     return total, {**{k: p for k, p in entries.items() if k not in gone}, **made}
 
 
@@ -245,20 +262,37 @@ def stage_marts(
     entries: versions.Entries,
     span: ReportSpan,
     marts=tuple(MARTS),
+    only: dict[str, list[date]] | None = None,
 ) -> tuple[dict[str, int], versions.Entries]:
-    """Write the marts of every date in the span; returns rows and entries, not yet current."""
+    """Write the marts of every date in the span; returns rows and entries, not yet current.
+
+    With ``only``, a mart's dates outside its list are taken to be right: they are neither
+    computed, but for gaps between listed dates, nor written.
+    """
     spark = tables["loan"].sparkSession
     version = _version()
+    dates = {name: span.dates if only is None else only.get(name, []) for name in marts}
+    marts = [name for name in marts if dates[name]]
+    for name in dates:
+        entries = {**entries, (f"{BUILT}{name}", "span"): f"{span.start}..{span.end}"}
+
+    def within(*names):
+        days = [day for name in names if name in marts for day in dates[name]]
+        return ReportSpan(min(days), max(days))
 
     def write(name, frame):
+        if only is not None:
+            frame = frame.filter(F.col("report_date").isin(dates[name]))
         rows, parts = versions.stage(frame, root, f"mart/{name}", version, "report_date")
         return name, rows, parts
 
     def credit():
+        span = within("daily_credit_kpi")
         frame = credit_kpi(tables["application"], tables["customer"], tables["loan"], span)
         return [write("daily_credit_kpi", frame)]
 
     def campaign():
+        span = within("daily_campaign_kpi")
         frame = campaign_kpi(
             tables["marketing_touch"], tables["application"], tables["loan"], span
         )
@@ -266,6 +300,7 @@ def stage_marts(
 
     def exposures():
         # Both marts roll up the same ledger, so it is written once.
+        span = within("daily_portfolio_kpi", "vintage_kpi")
         path = f"{root}/staging/ledger-{version}"
         exposure_ledger(
             tables["installment"], tables["loan"], tables["payment"], span
@@ -289,7 +324,7 @@ def stage_marts(
     for done in _in_parallel(tasks):
         for name, rows, parts in done:
             counts[name] = rows
-            entries = versions.replaced(entries, f"mart/{name}", parts, span.dates)
+            entries = versions.replaced(entries, f"mart/{name}", parts, dates[name])
     return counts, entries
 
 
@@ -301,6 +336,54 @@ def refresh_marts(
     counts, entries = stage_marts(tables, root, versions.current(spark, root), span, marts)
     versions.publish(spark, root, entries)
     return counts
+
+
+def refresh_changed(
+    spark: SparkSession,
+    root: str,
+    batch: dict[str, DataFrame],
+    span: ReportSpan,
+    marts=tuple(MARTS),
+) -> dict[str, list[date]]:
+    """Load a batch and refresh the dates of the span that it can alter; returns them by mart.
+
+    Dates that no mart has been built for since the last load are refreshed too. Events and
+    marts change by one switch; a batch that is already stored changes nothing.
+    """
+    _sweep(spark, root)
+    old = versions.current(spark, root)
+    added, entries = stage_events(spark, root, old, batch)
+    found: dict[str, list[date]] = {}
+    tables = canonical_tables(spark, root, entries, span)
+    if added:
+        whole = canonical_tables(spark, root, entries)
+        found = affected_dates(_changed(spark, root, old, entries), whole, span)
+    only = {}
+    for name in marts:
+        start, _, end = old.get((f"{BUILT}{name}", "span"), "").partition("..")
+        unbuilt = {d for d in span.dates if not start or not start <= d.isoformat() <= end}
+        only[name] = sorted(unbuilt | set(found.get(name, [])))
+    if added or any(only.values()):
+        _, entries = stage_marts(tables, root, entries, span, marts, only)
+        versions.publish(spark, root, entries)
+    return only
+
+
+def _changed(spark, root, old: versions.Entries, new: versions.Entries) -> dict[str, DataFrame]:
+    """Newest versions that the raw parts in ``new`` alone have replaced, and their successors."""
+    images = {}
+    for name, key in KEYS.items():
+        parts = {k: p for k, p in new.items() if k[0] == f"raw/{name}" and k not in old}
+        if parts:
+            keys = raw_table(spark, root, name, parts).select(key).distinct()
+            before, after = (
+                _newest(spark, root, name, e).drop("part").join(keys, key, "left_semi")
+                for e in (old, new)
+            )
+            images[name] = changed_images(before, after)
+    return images
+
+
 def _log_run(spark, root, report_date, status, loaded=0, rejected=0, error=None, restart=False):
     """Upsert the run's row. A restart resets it, any other status keeps its start."""
     now = datetime.now(UTC)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions.span import ReportSpan
 from tidemark.operators.ingest import idempotent_append
-from tidemark.plans.jobs import canonical_tables, load_events, refresh_marts
+from tidemark.plans.jobs import refresh_changed
 from tidemark.schemas import MARTS
 from tidemark.sources.storage import append, read_table
 
@@ -49,17 +49,16 @@ def stream_ingest(
 def refresh_batch(
     root: str, table: str, span: ReportSpan, marts: tuple[str, ...] = tuple(MARTS)
 ) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function: load the batch as a job does, then refresh marts.
+    """A ``foreachBatch`` function: load the batch as a job does, then refresh what it alters.
 
     Events go through the load of :mod:`tidemark.plans.jobs`, so the stored newest
-    versions hold them and later runs go on from there; the other tables are read anew
-    for every micro-batch. A replayed micro-batch adds nothing and writes the same marts.
+    versions hold them and later runs go on from there. Only report dates that a changed row
+    can reach are computed and written; the first micro-batch builds the whole span. A
+    replayed micro-batch adds and writes nothing.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        load_events(spark, root, {table: batch})
-        refresh_marts(canonical_tables(spark, root, span=span), root, span, marts)
+        refresh_changed(batch.sparkSession, root, {table: batch}, span, marts)
 
     return handle
 
