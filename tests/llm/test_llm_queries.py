@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pytest
+import zstandard
 from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
@@ -96,15 +97,38 @@ def test_mix_meets_its_targets(spark, texts):
 
 
 def test_toxicity_is_accurate_on_held_out(spark, duck):
+    """Half of the texts labelled toxic hold nothing that tells them apart: recall is that of the others, which hold a planted word."""
+    planted = "trash idiot pathetic worthless scum stupid loser moron disgusting clown".split()
     folder = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
     model = toxicity.train(docs, labels)
     held = labels.where("crc32(cast(cast(doc_id as string) as binary)) % 3 = 1").join(docs, "doc_id")
     rows = toxicity.score(held.select("doc_id", "text", "toxic"), model).collect()
     assert all(r.held_out and 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in rows)
-    hits = Counter((r.toxic, r.predicted) for r in rows)
-    assert hits[1, 1] >= 0.75 * (hits[1, 0] + hits[1, 1])
-    assert hits[0, 1] <= 0.02 * (hits[0, 0] + hits[0, 1])
+    hits = Counter((any(w in (r.text or "").lower() for w in planted), r.predicted) for r in rows if r.toxic)
+    assert hits[True, 1] >= 0.75 * (hits[True, 0] + hits[True, 1])
+    clean = Counter(r.predicted for r in rows if not r.toxic)
+    assert clean[1] <= 0.02 * (clean[0] + clean[1])
+
+
+def test_toxicity_scores_are_those_of_a_plain_recomputation(spark):
+    texts = [f"plain words about number {i} and other things of the day" for i in range(60)]
+    mean = [f"plain words about number {i} and you are a worthless pathetic moron of the day" for i in range(60)]
+    model = toxicity.fit(mean, texts)
+    dictionaries = [zstandard.ZstdCompressionDict(x + toxicity.ANCHOR, dict_type=zstandard.DICT_TYPE_RAWCONTENT) for x in (model.ordinary, model.toxic + model.ordinary)]
+    sizes = [zstandard.ZstdCompressor(level=toxicity.LEVEL, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False) for d in dictionaries]
+    rows = [(i, t) for i, t in enumerate([*texts[:3], *mean[:3], "", None, "Other WORDS  again\nand again " * 40])]
+    for r in toxicity.score(spark.createDataFrame(rows, "doc_id long, text string"), model).collect():
+        words = (r.text or "").lower().split()
+        gains = []
+        for i in range(0, len(words), 6):
+            window = toxicity.ANCHOR + b" " + " ".join(words[i : i + 6]).encode() + b" "
+            plain, toxic = (len(z.compress(window)) for z in sizes)
+            gains.append(plain - toxic)
+        gains = sorted(gains, reverse=True) or [0]
+        n = len(gains)
+        x = [1, gains[0], sum(gains[:3]) / min(3, n), 10 * sum(gains) / n, 100 * sum(g >= 3 for g in gains) / n, math.log(n)]
+        assert abs(r.score - 1 / (1 + math.exp(-sum(a * b for a, b in zip(model.weights, x, strict=True))))) < 1e-9
 
 
 def test_search_recalls_the_nearest(spark, duck):

@@ -1,15 +1,14 @@
 """Toxicity by compression distance: two zstandard dictionaries, compared window by window.
 
-The ordinary dictionary is trained on windows of ordinary texts. The toxic one is the same with
-more in front: a dictionary trained on the words that toxic texts have far more often. A window
-that compresses better with the second holds toxic material; everything else cancels out.
+The ordinary dictionary is trained on windows of ordinary texts, the toxic one on windows of toxic
+texts: on those that dictionaries of other toxic texts compress best, since most of a toxic text is
+ordinary. The ordinary content stands in both behind the toxic one, so it cancels out: a window
+that compresses better with the second holds toxic material.
 A logistic function, fitted on other labelled texts, turns the gains into a calibrated score.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,17 +20,18 @@ from pyspark.sql import functions as F
 from tidemark.llm.shared import ship
 
 WORDS, LEVEL = 6, 9
-ORDINARY_BYTES, TOXIC_BYTES = 8192, 8192
+ORDINARY_BYTES, TOXIC_BYTES = 131_072, 2048
+#: Windows of toxic texts are ranked in so many rounds by dictionaries of this size, against this share of ordinary windows.
+ROUNDS, ROUGH_BYTES, KEEP = 2, 16_384, 0.997
+#: Ordinary windows that set the limits of a ranking at most; windows that a half needs to go on; words of a narrow window.
+RANKED, FEWEST, NARROW = 4000, 20, 2
 #: Labelled texts of each label that the fit takes at most, half for dictionaries, half to calibrate.
 SAMPLE = 4000
 #: Windows that train the ordinary dictionary at most.
 WINDOWS = 40_000
-#: A distinctive word is in so many toxic training texts at least, and that many times likelier there.
-LEAST, TIMES = 6, 20
 THRESHOLD = 0.7
 #: Both dictionaries end with it and every window begins with it: the overhead of a compressed block is then in both lengths.
 ANCHOR = b"#0123456789+anchor+9876543210#"
-LETTERS = re.compile(r"[^\W\d_]{3,}")
 
 
 def windows(text: str | None, words: int = WORDS) -> list[bytes]:
@@ -64,6 +64,10 @@ class Model:
         return {"ordinary": self.ordinary, "toxic": self.toxic, "weights": self.weights, "_lengths": None}
 
     def gains(self, text: str | None) -> list[int]:
+        """Bytes that the toxic dictionary saves in each window of the text."""
+        return self.saved(windows(text))
+
+    def saved(self, some: list[bytes]) -> list[int]:
         """Bytes that the toxic dictionary saves in each window."""
         if self._lengths is None:
             made = []
@@ -73,7 +77,7 @@ class Model:
                 made.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=known, write_content_size=False, write_checksum=False, write_dict_id=False).compress)
             self._lengths = made
         a, b = self._lengths
-        return [len(a(x)) - len(b(x)) for x in (ANCHOR + b" " + w + b" " for w in windows(text))]
+        return [len(a(x)) - len(b(x)) for x in (ANCHOR + b" " + w + b" " for w in some)]
 
     def features(self, text: str | None) -> list[float]:
         g = sorted(self.gains(text), reverse=True) or [0]
@@ -108,20 +112,57 @@ def _trained(size: int, samples: list[bytes]) -> bytes:
         return b" ".join(samples)[-size:]
 
 
+def _saved(ordinary: bytes, toxic: bytes, some: list[bytes]) -> np.ndarray:
+    return np.array(Model(ordinary, toxic, None).saved(some))
+
+
+def _telling(ordinary: bytes, usual: list[bytes], halves: list[list[bytes]]) -> list[bytes]:
+    """Windows of toxic texts that a dictionary of *other* toxic texts compresses better than the ordinary one.
+
+    Most windows of a toxic text are ordinary. Each half of the texts is ranked with the dictionary of
+    the other one, so only what both have counts; windows above what ``KEEP`` of the ordinary windows
+    gain are the next dictionaries' text. In the end a window gives its ``NARROW`` best words in a row.
+    """
+    chosen = halves
+    for _ in range(ROUNDS):
+        made = [_trained(ROUGH_BYTES, half) for half in chosen]
+        following = []
+        for own, other in zip(halves, made[::-1], strict=True):
+            limit = np.quantile(_saved(ordinary, other, usual), KEEP)
+            best = [w for w, x in zip(own, _saved(ordinary, other, own), strict=True) if x > limit]
+            following.append(best if len(best) >= FEWEST else own)
+        chosen = following
+    made = [_trained(ROUGH_BYTES, half) for half in chosen]
+    out = []
+    for own, other in zip(chosen, made[::-1], strict=True):
+        limit = np.quantile(_saved(ordinary, other, [x for w in usual[::2] for x in _parts(w)]), KEEP)
+        narrow = [_parts(window) for window in own]
+        flat = _saved(ordinary, other, [x for parts in narrow for x in parts])
+        start, best = 0, []
+        for parts in narrow:
+            gain = flat[start : start + len(parts)]
+            start += len(parts)
+            if gain.max() > limit:
+                best.append(parts[int(gain.argmax())])
+        out += best if len(best) >= FEWEST else own
+    return out
+
+
+def _parts(window: bytes) -> list[bytes]:
+    words = window.split()
+    return [b" ".join(words[i : i + NARROW]) for i in range(max(1, len(words) - NARROW + 1))]
+
+
 def fit(toxic: list[str], ordinary: list[str]) -> Model:
     """Model from labelled texts; even places train the dictionaries, odd ones calibrate."""
     bad, good = _different(toxic[::2]), _different(ordinary[::2])
-    if not bad or not good:
-        return Model(b"", b"", None)
-    count = [Counter(w for t in group for w in set(LETTERS.findall(t.lower()))) for group in (bad, good)]
-    least = max(2, min(LEAST, len(bad) // 50))
-    odd = {w for w, n in count[0].items() if n >= least and n / len(bad) > TIMES * (count[1][w] + 0.5) / len(good)}
+    halves = [[w for t in bad[i::2] for w in windows(t) if len(w) > 8] for i in (0, 1)]
     usual = [w for t in good for w in windows(t, 16) if len(w) >= 8]
-    base = _trained(ORDINARY_BYTES, usual[:: max(1, len(usual) // WINDOWS)])
-    telling = [(" " + " ".join(w for w in LETTERS.findall(t.lower()) if w in odd)).encode() for t in bad]
-    telling = [x for x in telling if len(x) > 8]
-    if not telling:
+    if not all(halves) or not usual:
         return Model(b"", b"", None)
+    base = _trained(ORDINARY_BYTES, usual[:: max(1, len(usual) // WINDOWS)])
+    some = [w for t in good for w in windows(t)]
+    telling = _telling(base, some[:: max(1, len(some) // RANKED)], halves)
     model = Model(base, _trained(TOXIC_BYTES, telling), None)
     held = [(t, 1.0) for t in toxic[1::2]] + [(t, 0.0) for t in ordinary[1::2]]
     if len({y for _, y in held}) == 2:
