@@ -2,8 +2,10 @@
 
 import io
 import random
+import re
 import struct
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -197,11 +199,47 @@ def test_mix_edges(odd, none):
     assert words == sum(r.taken for r in rows if r.doc_id != 6)
 
 
-def test_targets_are_capped_and_shared_again():
-    assert mixing.targets([("a", 10), ("b", 10), ("c", 10)]) == [5, 10, 15]
-    got = mixing.targets([("a", 1000), ("b", 10), (None, 10)])
-    assert got[1:] == [30, 30] and got[0] == 960
-    assert mixing.targets([]) == []
+def test_targets_are_capped_and_shared_again(spark):
+    goals = lambda some: [r.target for r in mixing.targets(spark.createDataFrame(some, "source string, source_size long")).orderBy("source_no").collect()]
+    assert goals([("a", 10), ("b", 10), ("c", 10)]) == [5, 10, 15]
+    assert goals([("a", 1000), ("b", 10), (None, 10)]) == [960, 30, 30]
+    assert goals([]) == []
+
+
+def test_thousands_of_sources(spark):
+    docs = documents(spark, [(i, "word " * (1 + i % 7), f"host{i % 5000}") for i in range(10_000)])
+    rows = mixing.taken(docs).collect()
+    sizes = Counter()
+    for r in rows:
+        sizes[r.source] += r["size"]
+    order = sorted(sizes, key=lambda x: (x is None, x))
+    fixed, rest, weight = {}, float(sum(sizes.values())), {s: i % 3 + 1 for i, s in enumerate(order)}
+    while True:
+        free = sum(w for s, w in weight.items() if s not in fixed)
+        above = [s for s in order if s not in fixed and rest * weight[s] / free > 3 * sizes[s]]
+        if not above:
+            break
+        fixed |= {s: 3.0 * sizes[s] for s in above}
+        rest = sum(sizes.values()) - sum(fixed.values())
+    goal = {s: fixed.get(s, rest * weight[s] / free) for s in order}
+    got = Counter()
+    for r in rows:
+        assert r.source_size == sizes[r.source] and abs(r.target - goal[r.source]) < 1e-6
+        got[r.source] += r.taken
+    assert all(abs(got[s] - goal[s]) <= 7 for s in order)
+
+
+def test_mixed_rows_keep_the_callers_columns(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "GROUP", 7)
+    rows = [(1, "a b c", "x", 5, "p", "u", n) for n in range(50)] + [(n, f"w{n} x y", "x", n, "p", "u", n) for n in range(2, 30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, rows long, picks string, _unit string, n int")
+    mixed = mixing.mix(docs)
+    taken = Counter({r.doc_id: r.t for r in mixing.taken(docs).groupBy("doc_id").agg(F.sum("taken").alias("t")).collect()})
+    got = Counter()
+    for r in mixed.collect():
+        assert tuple(r) in rows
+        got[r.doc_id] += 3
+    assert mixed.columns == docs.columns and +got == +taken
 
 
 def test_cube_sampling_keeps_totals(spark):
@@ -297,6 +335,46 @@ def test_shards_split_a_frequent_text(spark):
     assert len(sizes) == 10 and max(sizes) <= 1.1 * min(sizes)
 
 
+def test_shards_split_repeated_rows(spark):
+    same = documents(spark, [(7, "copy " * 50, "a")] * 2000 + [(8, "other", "a")] * 3)
+    rows = sharding.shard(same, shards=10).select("shard", "slot", "size").collect()
+    sizes = Counter()
+    for r in rows:
+        sizes[r.shard] += r["size"]
+    assert len(rows) == 2003 and len(sizes) == 10 and max(sizes.values()) <= 1.15 * min(sizes.values())
+    for k in range(10):
+        assert sorted(r.slot for r in rows if r.shard == k) == list(range(sum(r.shard == k for r in rows)))
+
+
+def test_licences_lie_anywhere(spark):
+    """Wrapped, in the middle of a long line, two in a row; and by plain comparison over a whole table."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = licenses.train(docs)
+    fill = " ".join(f"wort{i}" for i in range(100))
+    cases = {
+        1: ("Redistribution and use in source and binary forms, with or\nwithout modification, are permitted", "bsd"),
+        2: (f"{fill} Released under the MIT License. {fill}", "mit"),
+        3: (fill, ""),
+        4: ("you need a license to drive under the law and the permission of the state", ""),
+        5: (f"{fill}\n\nLicensed under the Apache License, Version 2.0. All rights reserved.", "apache,reserved"),
+    }
+    got = licenses.scan(documents(spark, [(k, t, "a") for k, (t, _) in cases.items()]), model).collect()
+    assert {r.doc_id: r.families for r in got} == {k: f for k, (_, f) in cases.items()}
+    rows = {r.doc_id: r for r in licenses.scan(docs, model).collect()}
+    seen = 0
+    for r in docs.select("doc_id", "text").collect():
+        words = [w.strip(".") for w in re.sub(r"[^\w.]+|\.(?![0-9])", " ", (r.text or "").lower()).replace("_", " ").split()]
+        flat = f" {' '.join(words)} "
+        whole = {f for f, ts in licenses.TEMPLATES.items() if any(f" {t} " in flat for t in ts)}
+        windows = [set(words[i : i + licenses.WINDOW]) for i in range(0, max(1, len(words) - licenses.WINDOW // 2), licenses.WINDOW // 2)]
+        possible = {f for f, ts in licenses.TEMPLATES.items() for t in ts for w in windows if len(set(t.split()) & w) >= licenses.CONFIRM * len(set(t.split()))}
+        found = set(filter(None, rows[r.doc_id].families.split(",")))
+        assert whole <= found <= possible, r.doc_id
+        assert rows[r.doc_id].n_paragraphs == (len(windows) if words else 0)
+        seen += bool(whole)
+    assert seen > 10
+
+
 def test_pipeline_stages_against_their_operators(spark, tmp_path):
     folder = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{folder}/documents.parquet")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import random
 import zlib
 
@@ -18,6 +17,8 @@ from tidemark.llm.shared import SPACES, cut, ship
 BLOCK = 4_000
 #: Open items of a source, of all sizes, that are kept for the landing.
 LANDING = 12
+#: Repeated rows that are numbered together, about.
+GROUP = 10_000
 
 
 def word_count(text):
@@ -25,21 +26,32 @@ def word_count(text):
     return F.when(trimmed == "", 0).otherwise(F.size(F.split(trimmed, SPACES))).cast("long")
 
 
-def targets(sizes: list[tuple[str | None, int]], weights: tuple[int, ...] = (1, 2, 3), most: float = 3.0) -> list[float]:
-    """Targets of the sources, given in their order with their sizes.
+def targets(sources: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: float = 3.0) -> DataFrame:
+    """Adds ``source_no`` and ``target`` to rows ``(source, source_size)``, one for each source.
 
-    The total is shared by weight; a target stops at ``most`` times its source's size and the
-    excess is shared again by weight among the others until none is above.
+    Sources are numbered in code-point order, null last, and weigh what ``weights`` repeat. The total is
+    shared by weight; a target stops at ``most`` times its source's size and the excess is
+    shared again by weight among the others until none is above. The driver sees two totals a round.
     """
-    w = [weights[i % len(weights)] for i in range(len(sizes))]
-    total, fixed = float(sum(n for _, n in sizes)), {}
+    part = cut(sources.orderBy(F.col("source").asc_nulls_last()).withColumn("part", F.spark_partition_id()))
+    before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    starts = part.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    rank = F.row_number().over(W.partitionBy("part").orderBy(F.col("source").asc_nulls_last()))
+    numbered = part.withColumn("rank", rank).join(starts, "part").withColumn("source_no", (F.col("start") + F.col("rank") - 1).cast("long"))
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("source_no") % len(weights)).cast("int") + 1)
+    known = cut(numbered.select("source", "source_size", "source_no", weight.alias("w"), (most * F.col("source_size")).alias("most")))
+    total = float(known.agg(F.sum("source_size")).first()[0] or 0)
+    full, rest, free = F.lit(False), total, known.agg(F.sum("w")).first()[0] or 1
+    stopped = -1
     while True:
-        free = [i for i in range(len(sizes)) if i not in fixed]
-        rest, weight = total - sum(fixed.values()), sum(w[i] for i in free)
-        above = [i for i in free if rest * w[i] / weight > most * sizes[i][1]]
-        if not above:
-            return [fixed[i] if i in fixed else rest * w[i] / weight for i in range(len(sizes))]
-        fixed |= {i: most * sizes[i][1] for i in above}
+        # what was above stays fixed: the others' share only grows
+        full = full | (F.lit(rest) * F.col("w") / F.lit(free) > F.col("most"))
+        row = known.agg(F.count_if(full).alias("n"), F.sum(F.when(full, F.col("most"))).alias("fixed"), F.sum(F.when(~full, F.col("w"))).alias("free")).first()
+        if row["n"] == stopped or not row["free"]:
+            break
+        stopped, rest, free = row["n"], total - (row["fixed"] or 0.0), row["free"]
+    share = F.when(full, F.col("most")).otherwise(F.lit(rest) * F.col("w") / F.lit(free))
+    return known.select("source", "source_size", "source_no", share.cast("double").alias("target"))
 
 
 def _fly(p: list[float], size: list[float], rng: random.Random) -> list[int]:
@@ -111,30 +123,27 @@ def _land(p: list[float], size: list[float], held: list[int]) -> None:
         p[i] = float(x)
 
 
-def _flight(final: frozenset[int]):
-    """The flight of a block; sources in ``final`` have one block and land, others hand on their open items."""
-
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["size", "order", "unit"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
-        p, size = rows["p"].tolist(), rows["size"].astype(float).tolist()
-        rng = random.Random(zlib.crc32(repr((int(key[0]), int(key[1]), len(p))).encode()))
-        # the longest settle first, while many others can make up for them
-        heavy = LANDING if len(p) > 4 * LANDING else 0
-        # items of all sizes wait for the landing, so that their sums come near any total
-        waiting = sorted({heavy + (len(p) - heavy) * i // LANDING for i in range(LANDING)}) if p else []
-        kept = [p[i] for i in waiting]
-        for i in waiting:
-            p[i] = 0.0
-        if heavy:
-            _settle(p, size, list(range(heavy)), list(range(heavy, len(p))), rng)
-        held = _fly(p, size, rng)
-        for i, x in zip(waiting, kept, strict=True):
-            p[i] = x
-        if int(key[0]) in final:
-            _land(p, size, [*held, *waiting])
-        return rows.assign(p=p)[["unit", "source_no", "size", "order", "p"]]
-
-    return run
+def _flight(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """The flight of a block; a source's only block lands, others hand on their open items."""
+    final = int(rows["blocks"].iloc[0]) == 1
+    rows = rows.sort_values(["size", "order", "unit"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
+    p, size = rows["p"].tolist(), rows["size"].astype(float).tolist()
+    rng = random.Random(zlib.crc32(repr((int(key[0]), int(key[1]), len(p))).encode()))
+    # the longest settle first, while many others can make up for them
+    heavy = LANDING if len(p) > 4 * LANDING else 0
+    # items of all sizes wait for the landing, so that their sums come near any total
+    waiting = sorted({heavy + (len(p) - heavy) * i // LANDING for i in range(LANDING)}) if p else []
+    kept = [p[i] for i in waiting]
+    for i in waiting:
+        p[i] = 0.0
+    if heavy:
+        _settle(p, size, list(range(heavy)), list(range(heavy, len(p))), rng)
+    held = _fly(p, size, rng)
+    for i, x in zip(waiting, kept, strict=True):
+        p[i] = x
+    if final:
+        _land(p, size, [*held, *waiting])
+    return rows.assign(p=p)[["unit", "source_no", "size", "order", "p"]]
 
 
 def sample(units: DataFrame) -> DataFrame:
@@ -143,28 +152,31 @@ def sample(units: DataFrame) -> DataFrame:
     Every source flies in blocks of about ``BLOCK`` rows, dealt by ``order``. A block leaves two open
     items and the ``LANDING`` of all sizes that wait; these meet in ever fewer blocks until the
     source has one, which also lands, whatever blocks other sources still have. A source's tokens
-    and items keep their expected totals but for the landing.
+    and items keep their expected totals but for the landing. Numbers of blocks are a table
+    keyed by source; the driver sees the largest.
     """
     ship(units.sparkSession)
-    schema = "unit long, source_no int, size long, order long, p double"
-    per_source = units.groupBy("source_no").agg(F.count("*").alias("n"), F.sum(((F.col("p") > 0) & (F.col("p") < 1)).cast("long")).alias("open")).collect()
-    blocks = {r["source_no"]: max(1, math.ceil((r["open"] or 0) / BLOCK)) for r in per_source}
-    level, settled = units.select("unit", "source_no", "size", "order", "p"), []
+    schema = "unit long, source_no long, size long, order long, p double"
+    open_rows = (F.col("p") > 0) & (F.col("p") < 1)
+    level = cut(units.select("unit", F.col("source_no").cast("long").alias("source_no"), "size", "order", "p"))
+    fly, settled = level.where(open_rows), [level.where(~open_rows)]
+    blocks = cut(fly.groupBy("source_no").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / BLOCK)).cast("long").alias("blocks")))
     while True:
-        count = F.lit(1)
-        for no, n in blocks.items():
-            count = F.when(F.col("source_no") == no, n).otherwise(count)
-        final = frozenset(no for no, n in blocks.items() if n == 1)
-        open_rows = (F.col("p") > 0) & (F.col("p") < 1)
-        flown = cut(level.where(open_rows).withColumn("block", F.pmod(F.xxhash64("order", F.lit(len(settled))), count)).groupBy("source_no", "block").applyInPandas(_flight(final), schema))
-        settled += [level.where(~open_rows), flown.where(~open_rows)] if not settled else [flown.where(~open_rows)]
-        if len(final) == len(blocks):
-            picked = settled[0]
-            for more in settled[1:]:
-                picked = picked.union(more)
-            return picked.select("unit", F.col("p").cast("long").alias("picked"))
-        level = flown.where(open_rows)
-        blocks = {no: max(1, min(n - 1, math.ceil((LANDING + 2) * n / BLOCK))) for no, n in blocks.items() if n > 1}
+        most = blocks.agg(F.max("blocks")).first()[0]
+        if most is None:
+            break
+        dealt = fly.join(blocks, "source_no").withColumn("block", F.pmod(F.xxhash64("order", F.lit(len(settled) - 1)), F.col("blocks")))
+        flown = cut(dealt.groupBy("source_no", "block").applyInPandas(_flight, schema))
+        settled.append(flown.where(~open_rows))
+        if most == 1:
+            break
+        fly = flown.where(open_rows)
+        fewer = F.greatest(F.lit(1), F.least(F.col("blocks") - 1, F.ceil((LANDING + 2) * F.col("blocks") / BLOCK)))
+        blocks = cut(blocks.where("blocks > 1").select("source_no", fewer.cast("long").alias("blocks")))
+    picked = settled[0]
+    for more in settled[1:]:
+        picked = picked.union(more)
+    return picked.select("unit", F.col("p").cast("long").alias("picked"))
 
 
 def plan(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", weights: tuple[int, ...] = (1, 2, 3), most: float = 3.0) -> DataFrame:
@@ -179,13 +191,11 @@ def plan(docs: DataFrame, text: str = "text", source: str = "source", doc_id: st
     key = F.xxhash64(F.struct(doc_id, source).cast("string"), F.coalesce(F.col(text), F.lit("")), F.col(text).isNull())
     thin = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), key.alias("_unit"))
     units = cut(thin.groupBy("doc_id", "source", "size", "_unit").agg(F.count("*").alias("rows")))
-    by_source = [(r["source"], r["n"] or 0) for r in units.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("n")).collect()]
-    by_source.sort(key=lambda x: (x[0] is None, x[0] or ""))
-    goal = targets(by_source, weights, most)
-    table = [(i, s, n, t, t / n if n else 0.0) for i, ((s, n), t) in enumerate(zip(by_source, goal, strict=True))]
-    ratios = docs.sparkSession.createDataFrame(table, "source_no int, source string, source_size long, target double, ratio double")
-    # the sources' names and sizes are already on the driver: a few rows
-    joined = units.join(F.broadcast(ratios), units["source"].eqNullSafe(ratios["source"])).drop(ratios["source"])
+    by_source = units.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).cast("long").alias("source_size"))
+    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    ratios = cut(targets(by_source, weights, most).withColumn("ratio", ratio))
+    # both sides are written tables: a frequent source can be split
+    joined = units.join(ratios, units["source"].eqNullSafe(ratios["source"])).drop(ratios["source"])
     expected = F.col("ratio") * F.col("rows")
     parts = joined.withColumn("sure", F.floor(expected + 1e-9)).withColumn("p", F.greatest(F.lit(0.0), expected - F.col("sure")))
     ready = parts.withColumn("p", F.when(F.col("p") < 1e-9, 0.0).otherwise(F.col("p")))
@@ -208,13 +218,22 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     """The mixed rows, with the columns of ``docs``; a row taken twice stands there twice.
 
     Repeated rows share their picks as evenly as whole numbers allow. Those of a key are told
-    apart by a number within it, which only keys with repeated rows are ordered for.
+    apart by a number within it, dealt in groups of about ``GROUP`` rows. The caller's columns travel in
+    one struct, so none of their names can clash.
     """
-    picks = cut(plan(docs, text, source, doc_id, **options).select("_unit", "rows", "picks"))
+    picks = cut(plan(docs, text, source, doc_id, **options).where("picks > 0").select("_unit", "rows", "picks"))
     key = F.xxhash64(F.struct(doc_id, source).cast("string"), F.coalesce(F.col(text), F.lit("")), F.col(text).isNull())
-    rows = docs.withColumn("_unit", key).join(picks.where("picks > 0"), "_unit")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own"), key.alias("_unit")).join(picks, "_unit")
     whole = F.floor(F.col("picks") / F.col("rows"))
-    single = rows.where("rows = 1").withColumn("_times", F.col("picks"))
-    order = W.partitionBy("_unit").orderBy(text)
-    several = rows.where("rows > 1").withColumn("_times", whole + (F.row_number().over(order) <= F.col("picks") % F.col("rows")).cast("long"))
-    return single.unionByName(several).select(*docs.columns, F.explode(F.expr("sequence(1L, greatest(_times, 1L))")).alias("_i"), "_times").where("_times > 0").select(*docs.columns)
+    single = rows.where("rows = 1").select("own", F.col("picks").alias("times"))
+    # repeated rows are numbered in groups of a bounded size, written first so that a group stays what it is
+    group = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.ceil(F.col("rows") / GROUP))
+    several = cut(rows.where("rows > 1").withColumn("group", group))
+    sizes = several.groupBy("_unit", "group").agg(F.count("*").alias("n"))
+    before = W.partitionBy("_unit").orderBy("group").rowsBetween(W.unboundedPreceding, -1)
+    starts = sizes.select("_unit", "group", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    number = F.col("start") + F.row_number().over(W.partitionBy("_unit", "group").orderBy("rows"))
+    numbered = several.join(starts, ["_unit", "group"]).withColumn("number", number)
+    shared = numbered.select("own", (whole + (F.col("number") <= F.col("picks") % F.col("rows")).cast("long")).alias("times"))
+    every = single.unionByName(shared).where("times > 0")
+    return every.select("own", F.explode(F.expr("sequence(1L, times)")).alias("time")).select("own.*")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -15,10 +16,15 @@ SPACES = r"[\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The checkpoint folder that the session names; a temporary one only where none is set, as in tests."""
+    """The checkpoint folder that the session names; on a local master a temporary one where none is set, as in tests.
+
+    Executors on other machines wouldn't see a temporary folder: on a cluster a missing setting is an error.
+    """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors reach")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tidemark-checkpoint-"))
     return context.getCheckpointDir()
 
