@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected
@@ -28,8 +28,8 @@ RATE = 20.0
 WIDTH = 5
 #: Orders in which a bucket's hub is the first member; a bucket's key names its order.
 ORDERS = [0x5DEECE66D1A2B3C4, 0x2545F4914F6CDD1D, 0x369DEA0F31A53F85, 0x1B873593CC9E2D51]
-#: Counters that tell rare shingles from frequent ones; more shingles than counters only blur the order.
-COUNTERS = 1 << 21
+#: Members of a bucket, and shingles of such members, that stand in one piece, about.
+MEMBERS, SHINGLES = 512, 200_000
 #: A pair is linked if 100 * common >= PERCENT * union.
 PERCENT = 80
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -148,6 +148,17 @@ def sketches(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Dat
     return keyed.mapInArrow(run, "doc_id long, tkey long, n long, cls long, sketch binary")
 
 
+def _band_keys(regs: np.ndarray) -> np.ndarray:
+    """A 64-bit key of each band of registers, given as 64-bit numbers."""
+    keys = np.empty((len(regs), BANDS), np.uint64)
+    for b in range(BANDS):
+        h = np.full(len(regs), b + 1, np.uint64)
+        for r in range(ROWS):
+            h = _mix(h + regs[:, b * ROWS + r] * np.uint64(0x9E3779B97F4A7C15))
+        keys[:, b] = h
+    return keys.view(np.int64)
+
+
 def _banded(classes: DataFrame) -> DataFrame:
     """Rows ``(key, cls)``: a 64-bit key of each band and its registers."""
     schema = pa.schema([("key", pa.int64()), ("cls", pa.int64())])
@@ -156,13 +167,7 @@ def _banded(classes: DataFrame) -> DataFrame:
         for batch in batches:
             own = np.array(batch.column(0).to_pylist(), np.int64)
             regs = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(len(own), BANDS * ROWS).astype(np.uint64)
-            keys = np.empty((len(own), BANDS), np.uint64)
-            for b in range(BANDS):
-                h = np.full(len(own), b + 1, np.uint64)
-                for r in range(ROWS):
-                    h = _mix(h + regs[:, b * ROWS + r] * np.uint64(0x9E3779B97F4A7C15))
-                keys[:, b] = h
-            yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.repeat(own, BANDS))], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(_band_keys(regs).reshape(-1)), pa.array(np.repeat(own, BANDS))], schema=schema)
 
     return classes.select("cls", "sketch").mapInArrow(run, "key long, cls long")
 
@@ -223,55 +228,152 @@ def _roots(frame: DataFrame, roots: DataFrame, column: str) -> DataFrame:
     return frame.join(named, column, "left").withColumn(f"root_{column}", F.coalesce("_root", column)).drop("_root")
 
 
+def _met(rows: DataFrame, weight: Column, most: int, columns: list[str]) -> DataFrame:
+    """Pieces of every key's rows, such that each two pieces of a key meet: ``key, guest, items``.
+
+    A key's rows are dealt into pieces of about ``most`` in weight. A piece is the host of its key's
+    later pieces, which follow it as guests; a host and its guests lie in one partition, in
+    order. What travels are pieces, never pairs of rows.
+    """
+    spark = rows.sparkSession
+    sizes = rows.groupBy("key").agg(F.ceil(F.sum(weight) / most).cast("int").alias("pieces"))
+    dealt = rows.join(sizes, "key").withColumn("piece", F.pmod(F.xxhash64("cls"), F.col("pieces")).cast("int"))
+    packed = cut(dealt.groupBy("key", "piece").agg(F.collect_list(F.struct(*columns)).alias("items")))
+    hosts = packed.select("key", "piece", F.lit(False).alias("guest"), "items")
+    guests = packed.where("piece > 0").select("key", F.explode(F.sequence(F.lit(0), F.col("piece") - 1)).alias("piece"), F.lit(True).alias("guest"), "items")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return hosts.unionByName(guests).repartition(tasks, "key", "piece").sortWithinPartitions("key", "piece", "guest").select("key", "guest", "items")
+
+
+def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[int, bool, pa.StructArray]]:
+    for key, guest, items in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+        yield key, guest, items.values
+
+
+def _numbers(column: pa.Array) -> np.ndarray:
+    return column.to_numpy(zero_copy_only=False)
+
+
+def _may_link(a: tuple, b: tuple, band: int, percent: int) -> np.ndarray:
+    """Which members of two pieces of a band's bucket may be linked across components, as a matrix.
+
+    A pair counts in the first band in which it agrees. Registers are equal at least as often as the
+    similarity says, so pairs with fewer equal ones than six standard errors below are no links.
+    """
+    (root_a, n_a, regs_a), (root_b, n_b, regs_b) = a, b
+    j = percent / 100
+    least = BANDS * ROWS * (j - 6 * (j * (1 - j) / (BANDS * ROWS)) ** 0.5)
+    small, large = np.minimum.outer(n_a, n_b), np.maximum.outer(n_a, n_b)
+    open_pairs = (root_a[:, None] != root_b[None, :]) & (100 * small >= percent * large)
+    same = np.zeros(open_pairs.shape, np.int32)
+    for k in range(BANDS):
+        if not open_pairs.any():
+            break
+        equal = regs_a[:, None, k * ROWS : (k + 1) * ROWS] == regs_b[None, :, k * ROWS : (k + 1) * ROWS]
+        count = equal.sum(2)
+        if k < band:
+            open_pairs &= count < ROWS
+        same += count
+    return open_pairs & (same >= least)
+
+
+def _open_members(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The members ``(key, cls, root)`` of buckets that have a possible link across components there."""
+    schema = pa.schema([("key", pa.int64()), ("cls", pa.int64())])
+
+    def run(batches):
+        host, band = None, 0
+        for batch in batches:
+            out: set[tuple[int, int]] = set()
+            for key, guest, items in _pieces(batch):
+                cls, root, n = (_numbers(items.field(c)) for c in ("cls", "root", "n"))
+                regs = np.frombuffer(b"".join(items.field("sketch").to_pylist()), np.uint16).reshape(len(cls), -1)
+                if not guest:
+                    host = (cls, root, n, regs)
+                    band = int(np.flatnonzero(_band_keys(regs[:1].astype(np.uint64))[0] == key)[0])
+                found = _may_link(host[1:], (root, n, regs), band, percent)
+                out.update((key, int(c)) for c in host[0][found.any(1)])
+                out.update((key, int(c)) for c in cls[found.any(0)])
+            yield _arrow(sorted(out), schema)
+
+    sketched = members.join(classes.select("cls", "n", "sketch"), "cls")
+    met = _met(sketched, F.lit(1), MEMBERS, ["cls", "root", "n", "sketch"])
+    found = met.mapInArrow(run, "key long, cls long").distinct()
+    return members.join(found, ["key", "cls"], "left_semi")
+
+
+def common_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of two lists, by products of their incidence matrices."""
+    shared = np.intersect1d(np.concatenate(a), np.concatenate(b))
+    total = np.zeros((len(a), len(b)), np.float32)
+    for at in range(0, len(shared), 4096):
+        some = shared[at : at + 4096]
+        sides = []
+        for sets in (a, b):
+            marks = np.zeros((len(sets), len(some)), np.float32)
+            for row, own in enumerate(sets):
+                place = np.searchsorted(some, own[np.searchsorted(own, some[0]) : np.searchsorted(own, some[-1], "right")])
+                inner = own[np.searchsorted(own, some[0]) : np.searchsorted(own, some[-1], "right")]
+                marks[row, place[some[place] == inner]] = 1
+            sides.append(marks)
+        total += sides[0] @ sides[1].T
+    return total
+
+
+def _forest(pairs: np.ndarray, root_a: np.ndarray, root_b: np.ndarray) -> list[tuple[int, int]]:
+    """Places of linked pairs that join the same components as all ``pairs`` do: fewer than components."""
+    _, first = np.unique(np.stack([root_a[pairs[:, 0]], root_b[pairs[:, 1]]]), axis=1, return_index=True)
+    up: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while up.setdefault(x, x) != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    kept = []
+    for i, j in pairs[first].tolist():
+        x, y = top(int(root_a[i])), top(int(root_b[j]))
+        if x != y:
+            up[x] = y
+            kept.append((i, j))
+    return kept
+
+
 def _across(members: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``(a, b)`` of the members ``(cls, root)`` that may be linked across components.
+    """Links ``(a, b)`` across components between members ``(key, cls, root)`` of a bucket.
 
-    Two sets that are alike enough share a shingle among the first ``n - ceil(percent * n / 100) + 1``
-    of each in any common order. Here that is rarity among the members, so sets with enough
-    shingles of their own meet nobody, and the places of the shared shingle bound what else two
-    sets can share. Rarity is read from a fixed number of counters: any order is exact.
+    Full sets of a bucket's members are compared with each other piece by piece. Of the links
+    found in two pieces only as many are handed on as join their components.
     """
-    counted = pa.schema([("cell", pa.int32()), ("n", pa.int64())])
+    schema = pa.schema([("cls", pa.int64()), ("n", pa.int64()), ("found", pa.binary())])
 
-    def count(batches):
-        seen = np.zeros(COUNTERS, np.int32)
+    def sets(batches):
         for batch in batches:
-            for t in batch.column(0):
-                np.add.at(seen, (shingles(t.as_py()) % np.uint64(COUNTERS)).astype(np.int64), 1)
-        cells = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int32)), pa.array(seen[cells].astype(np.int64))], schema=counted)
-
-    own = cut(texts.join(members, "cls").select("cls", "root", "text"))
-    # at most COUNTERS pairs of numbers, whatever the input
-    cells = own.select("text").mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    often = np.zeros(COUNTERS, np.int32)
-    often[cells.column("cell").to_numpy()] = np.minimum(cells.column("n").to_numpy(), 2**31 - 1)
-    known = own.sparkSession.sparkContext.broadcast(often)
-    schema = pa.schema([("shingle", pa.int64()), ("cls", pa.int64()), ("root", pa.int64()), ("n", pa.int64()), ("at", pa.int64())])
-
-    def first(batches):
+            for cls, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                own = shingles(t.as_py())
+                yield _arrow([(cls, len(own), own.tobytes())], schema)
+
+    def run(batches):
+        host = None
         for batch in batches:
-            for cls, root, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                s = shingles(t.as_py())
-                df = known.value[(s % np.uint64(COUNTERS)).astype(np.int64)]
-                n = len(s)
-                order = np.lexsort((s, df))[: n - (percent * n + 99) // 100 + 1]
-                at = np.flatnonzero(df[order] > 1)
-                some = s[order][at].view(np.int64)
-                fixed = [pa.array(np.full(len(at), x, np.int64)) for x in (cls, root, n)]
-                yield pa.RecordBatch.from_arrays([pa.array(some), *fixed, pa.array(at.astype(np.int64))], schema=schema)
-
-    heads = cut(own.mapInArrow(first, "shingle long, cls long, root long, n long, at long"))
-    left, right = (heads.select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("cls", "root", "n", "at")]) for x in "ab")
-    bound = F.least("at_a", "at_b") + 1 + F.least(F.col("n_a") - F.col("at_a") - 1, F.col("n_b") - F.col("at_b") - 1)
-    enough = (100 + percent) * bound >= percent * (F.col("n_a") + F.col("n_b"))
-    sized = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    on = (left["shingle"] == right["shingle"]) & (F.col("cls_a") < F.col("cls_b")) & (F.col("root_a") != F.col("root_b")) & sized & enough
-    pairs = left.join(right, on).groupBy("cls_a", "cls_b", "n_a", "n_b").agg(F.count("*").alias("k"), F.max("at_a").alias("at_a"), F.max("at_b").alias("at_b"))
-    # all that a pair shares: the counted ones, and at most what stands behind the last of them
-    most = F.col("k") + F.least(F.col("n_a") - F.col("at_a") - 1, F.col("n_b") - F.col("at_b") - 1)
-    near = pairs.where((100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b")))
-    return near.select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b"))
+            out: set[tuple[int, int]] = set()
+            for _, guest, items in _pieces(batch):
+                cls, root = (_numbers(items.field(c)) for c in ("cls", "root"))
+                own = [np.frombuffer(x, np.uint64) for x in items.field("found").to_pylist()]
+                if not guest:
+                    host = (cls, root, own)
+                common = common_counts(host[2], own).astype(np.int64)
+                union = np.add.outer([len(x) for x in host[2]], [len(x) for x in own]) - common
+                linked = (100 * common >= percent * union) & (host[1][:, None] != root[None, :])
+                for i, j in _forest(np.argwhere(linked), host[1], root):
+                    out.add((min(int(host[0][i]), int(cls[j])), max(int(host[0][i]), int(cls[j]))))
+            yield _arrow(sorted(out), pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+
+    wanted = texts.join(members.select("cls").distinct(), "cls", "left_semi").select("cls", "text")
+    full = members.join(cut(wanted.mapInArrow(sets, "cls long, n long, found binary")), "cls")
+    met = _met(full, F.col("n") + 64, SHINGLES, ["cls", "root", "found"])
+    return cut(met.mapInArrow(run, "a long, b long").distinct())
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT) -> DataFrame:
@@ -282,9 +384,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
        every other is paired with it: at most one pair for each member, whatever the bucket's size.
     3. Pairs that pass the sizes and the joint estimate are confirmed on full sets; first the
        likeliest of each class, then those that still lie across components.
-    4. Buckets that still hold several components get an exact second way: their members are
-       joined on the rarest shingles of their sets, across components only, then
-       estimated and confirmed alike. No bucket is capped.
+    4. Buckets that still hold several components get a second way: all their members are compared,
+       first by registers, then the full sets of those that may be linked, in pieces that
+       meet inside tasks. Pairs are never listed, and no bucket is capped.
 
     A document without a word, or with a null text, has size 0 and is a component of its own; so
     is one with a null id, whose component is null. Rows with the same id and different texts
@@ -322,11 +424,10 @@ def linked_rows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", per
         roots = connected(links)
     rooted = _roots(shared.select("key", "cls"), roots, "cls").withColumnRenamed("root_cls", "root")
     mixed = rooted.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("key")
-    members = rooted.join(mixed, "key", "left_semi").select("cls", "root").distinct()
-    tried = likely.select("a", "b")
-    across = cut(_likely(_across(members, texts, percent).join(tried, ["a", "b"], "left_anti"), classes, percent)).select("a", "b")
-    if not across.isEmpty():
-        more = _verified(across, texts, percent)
+    members = cut(rooted.join(mixed, "key", "left_semi").select("key", "cls", "root"))
+    still = cut(_open_members(members, classes, percent))
+    if not still.isEmpty():
+        more = _across(still, texts, percent)
         roots = roots if more.isEmpty() else connected(links.union(more))
     named = _roots(classes.select("cls", "first"), roots, "cls")
     ids = named.groupBy("root_cls").agg(F.min("first").alias("least")).select("root_cls", F.col("least.doc_id").alias("component_id"), F.col("least.tkey").alias("head_key"))
