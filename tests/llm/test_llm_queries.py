@@ -1,6 +1,7 @@
 """Registered queries of the subpackage against their SQL, or against plain versions of them."""
 
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -112,9 +113,12 @@ def test_toxicity_is_accurate_on_held_out(spark, duck):
 
 
 def test_toxicity_scores_are_those_of_a_plain_recomputation(spark):
-    texts = [f"plain words about number {i} and other things of the day" for i in range(60)]
-    mean = [f"plain words about number {i} and you are a worthless pathetic moron of the day" for i in range(60)]
+    rng = random.Random(4)
+    some = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(3, 9))) for _ in range(3000)]
+    texts = [" ".join(rng.choices(some, k=60)) for _ in range(200)]
+    mean = [" ".join([*rng.choices(some, k=30), rng.choice(["worthless", "pathetic", "disgusting"]), *rng.choices(some, k=30)]) for _ in range(200)]
     model = toxicity.fit(mean, texts)
+    assert model.weights is not None and model.score(mean[1]) > model.score(texts[1])
     dictionaries = [zstandard.ZstdCompressionDict(x + toxicity.ANCHOR, dict_type=zstandard.DICT_TYPE_RAWCONTENT) for x in (model.ordinary, model.toxic + model.ordinary)]
     sizes = [zstandard.ZstdCompressor(level=toxicity.LEVEL, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False) for d in dictionaries]
     rows = [(i, t) for i, t in enumerate([*texts[:3], *mean[:3], "", None, "Other WORDS  again\nand again " * 40])]
