@@ -7,8 +7,12 @@ with the signed change. Changes before the span collapse onto its first day.
 Summed per loan and then per grade or disbursement date they are small; running
 sums over them give the snapshot of every report date, so a rebuild of years costs
 one pass over the installments, like a single day.
+
+The changes can also be stored for all time (:data:`LEDGER`). They are a sum over loans, so a
+change of events adds what its loans give now less what they gave before.
 """
 
+from datetime import date
 from itertools import pairwise
 
 from pyspark.sql import DataFrame
@@ -18,11 +22,19 @@ from tidemark.functions.columns import cents, from_cents, month_start, months_on
 from tidemark.functions.span import ReportSpan
 from tidemark.operators.asof import payment_steps
 from tidemark.schemas import MARTS, conform
+from tidemark.sources.signed import Signed
 
 BUCKETS = (1, 7, 30, 90)
 DPD = [f"dpd_{days}" for days in BUCKETS]
 BALANCES = ["outstanding", "amount_due", "amount_paid", *DPD]
 COUNTS = ["loans", "active_loans"]
+# All dates: no change is moved to the first day of the span or left out after the last.
+ALWAYS = ReportSpan(date(1, 1, 1), date(9999, 12, 31))
+LEDGER = Signed(
+    "ledger/exposure",
+    ("risk_grade string", "disbursement_date date", "change_date date"),
+    (*COUNTS, *BALANCES),
+)
 
 
 def _sums(columns):
@@ -165,9 +177,30 @@ def exposure_ledger(
     )
 
 
+def ledger_difference(before: dict[str, DataFrame], after: dict[str, DataFrame]) -> DataFrame:
+    """What the stored ledger lacks when the rows of some loans change.
+
+    Both hold the loans, their installments and the payments of these, whole.
+    """
+    was, now = (
+        exposure_ledger(t["installment"], t["loan"], t["payment"], ALWAYS) for t in (before, after)
+    )
+    keys = LEDGER.key_names
+    taken = was.select(*keys, *[(-F.col(m)).alias(m) for m in LEDGER.measures])
+    return now.select(*taken.columns).unionAll(taken)
+
+
+def ledger_within(ledger: DataFrame, span: ReportSpan) -> DataFrame:
+    """The ledger of a span from the one of all time; earlier changes fall on its first day."""
+    return ledger.filter(f"change_date <= {span.last_sql}").withColumn(
+        "change_date", F.expr(span.clamp("change_date"))
+    )
+
+
 def _daily_levels(changes: DataFrame, key: str, measures: list[str], span) -> DataFrame:
     """Running totals of the changes per key, repeated for every report date."""
     daily = changes.groupBy(key, "change_date").agg(*_sums(measures))
+    # Where changes have been taken back, a key can be left without any loan.
     by_date = f"OVER (PARTITION BY {key} ORDER BY change_date"
     levels = daily.selectExpr(
         key,
@@ -175,13 +208,13 @@ def _daily_levels(changes: DataFrame, key: str, measures: list[str], span) -> Da
         f"lead(change_date) {by_date}) AS next_change",
         *[f"sum({m}) {by_date} ROWS UNBOUNDED PRECEDING) AS {m}" for m in measures],
     )
-    return levels.selectExpr(
+    return levels.filter("loans > 0").selectExpr(
         f"{span.days('change_date', 'date_sub(next_change, 1)')} AS report_date", key, *measures
     )
 
 
 def portfolio_from_changes(changes: DataFrame, span: ReportSpan) -> DataFrame:
-    levels = _daily_levels(changes, "risk_grade", ["active_loans", *BALANCES], span)
+    levels = _daily_levels(changes, "risk_grade", [*COUNTS, *BALANCES], span)
     return conform(
         levels.selectExpr(
             "report_date",

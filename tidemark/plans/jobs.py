@@ -3,8 +3,9 @@
 Tables below ``root`` are versioned folders (see :mod:`tidemark.sources.versions`):
 ``raw/<table>`` append-only events, one part for each load; ``newest/<table>`` the newest
 version of each key, by month of the business date or by a hash of the key;
-``mart/<table>`` by report date. ``audit/<table>`` are plain tables. One writer per root
-is assumed.
+``mart/<table>`` by report date; ``ledger/exposure`` the balance changes of all time and
+``counts/references`` the counts behind the reference checks, both kept up by the rows that a
+load changes. ``audit/<table>`` are plain tables. One writer per root is assumed.
 """
 
 from collections.abc import Callable
@@ -26,9 +27,18 @@ from tidemark.operators.ingest import (
     quarantine,
 )
 from tidemark.operators.quality import all_checks, dq_summary, gate
+from tidemark.operators.references import CHECKED, COUNTS, counted, value_changes
 from tidemark.operators.upsert import keyed_upsert
 from tidemark.plans.acquisition import campaign_kpi, credit_kpi
-from tidemark.plans.exposure import exposure_ledger, portfolio_from_changes, vintage_from_changes
+from tidemark.plans.exposure import (
+    ALWAYS,
+    LEDGER,
+    exposure_ledger,
+    ledger_difference,
+    ledger_within,
+    portfolio_from_changes,
+    vintage_from_changes,
+)
 from tidemark.schemas import (
     AUDIT,
     DQ_SUMMARY,
@@ -39,7 +49,7 @@ from tidemark.schemas import (
     RUN_LOG,
     conform,
 )
-from tidemark.sources import membership, versions
+from tidemark.sources import membership, signed, versions
 from tidemark.sources.storage import (
     append,
     delete_folder,
@@ -56,13 +66,26 @@ EXPORT_ORDER = {
     "vintage_kpi": ["origination_month", "months_on_book"],
 }
 
-# Tables whose newest versions are kept by month of a date; the others by a hash of the key.
+# Tables whose newest versions are kept by month of a date.
 BY_MONTH = {"marketing_touch": "touch_date", "application": "application_date"}
-BUCKETS = 64
+# The others are kept by a hash of the column by which the rows of a loan are looked up, in so
+# many buckets. One installment can hold very many payments, so a bucket of them is spread
+# over parts by their own id, and a correction rewrites one.
+PLACE = {
+    "customer": ("customer_id", 64),
+    "loan": ("loan_id", 64),
+    "installment": ("loan_id", 64),
+    "payment": ("installment_id", 16),
+}
+SPREAD = {"payment": 12}
+# Up to so many keys are named in the filter of a look-up; more of them come by a join.
+NAMED_KEYS = 1000
 # Newest versions of single loads; folded when they hold more than one in FOLD of the events.
 RECENT = "recent"
 # Entries of this kind tell for which dates a mart holds what the current events give.
 BUILT = "built/"
+# Entries of this kind tell the value of a check for the current events.
+CHECK_VALUE = "check/"
 FOLD = 8
 
 
@@ -95,7 +118,21 @@ def _part_of(name: str):
     """The part in which the newest version of a row is kept."""
     if name in BY_MONTH:
         return F.date_format(BY_MONTH[name], "yyyy-MM")
-    return F.pmod(F.xxhash64(KEYS[name]), F.lit(BUCKETS)).cast("string")
+    if name in SPREAD:
+        within = F.pmod(F.xxhash64(KEYS[name]), F.lit(SPREAD[name])).cast("string")
+        return F.concat_ws(".", _bucket(name), within)
+    return _bucket(name)
+
+
+def _bucket(name: str):
+    column, buckets = PLACE[name]
+    number = F.pmod(F.xxhash64(column), F.lit(buckets)).cast("string")
+    return F.concat(F.lit(f"{column}-"), number)
+
+
+def _order(name: str) -> list[str]:
+    """Columns by which the rows of a part are sorted, so that look-ups skip row groups."""
+    return [] if name in BY_MONTH else [PLACE[name][0]]
 
 
 def checked(name: str, frame: DataFrame) -> DataFrame:
@@ -132,6 +169,8 @@ def _staged(spark, root, entries, batch, version, staging) -> tuple[int, version
         conform(batch[name], EVENTS[name]).write.parquet(f"{staging}/{name}")
     batch = {n: checked(n, spark.read.schema(EVENTS[n]).parquet(f"{staging}/{n}")) for n in named}
 
+    images = {n: f"{staging}/images-{n}" for n in named}
+
     def load(name):
         known = entries
         if any(t == f"raw/{name}" for t, _ in known) and not any(t == f"ids/{name}" for t, _ in known):
@@ -145,26 +184,152 @@ def _staged(spark, root, entries, batch, version, staging) -> tuple[int, version
             return 0, {}, set()
         new = raw_table(spark, root, name, {(f"raw/{name}", v): p for v, p in raw.items()})
         indexed = membership.add_run(spark, root, known, name, new, added, version)
-        newest, gone = _add_newest(spark, root, name, known, new, added, version)
+        newest, gone = _add_newest(
+            spark, root, name, known, new, added, version, images[name]
+        )
         fresh = {k: p for k, p in indexed.items() if known.get(k) != p or entries.get(k) != p}
         gone |= {k for k in entries if k not in indexed}
         return added, {**{(f"raw/{name}", v): p for v, p in raw.items()}, **fresh, **newest}, gone
 
-    total, made, gone = 0, {}, set()
-    for added, parts, left in _in_parallel([lambda name=name: load(name) for name in batch]):
+    total, made, gone, changed = 0, {}, set(), {}
+    loads = _in_parallel([lambda name=name: load(name) for name in batch])
+    for name, (added, parts, left) in zip(batch, loads, strict=True):
         total += added
         made |= parts
         gone |= left
+        if added:
+            changed[name] = spark.read.schema(f"{versions.ddl(EVENTS[name])}, sign int").parquet(
+                images[name]
+            )
     # marts aren't those of these events before they are refreshed
     gone |= {k for k in entries if total and k[0].startswith(BUILT)}
-    return total, {**{k: p for k, p in entries.items() if k not in gone}, **made}
+    after = {**{k: p for k, p in entries.items() if k not in gone}, **made}
+    if not changed:
+        return total, after
+    ledger, counts = _in_parallel(
+        [
+            lambda: _kept_ledger(spark, root, entries, after, changed, version, staging),
+            lambda: _kept_counts(spark, root, entries, after, changed, version),
+        ]
+    )
+    kept = {k: p for k, p in after.items() if k[0] not in (LEDGER.table, COUNTS.table)}
+    return total, {**kept, **ledger, **counts}
+
+
+def _entries_of(entries: versions.Entries, *kinds: str) -> versions.Entries:
+    return {k: p for k, p in entries.items() if k[0].startswith(kinds)}
+
+
+def _kept_ledger(spark, root, old, new, changed, version, staging) -> versions.Entries:
+    """Entries of the stored ledger with what the changed rows alter.
+
+    Only the rows of the loans that they belong to are read, before and after. A root
+    without a ledger, one on its first load among them, gets the changes of all its loans.
+    """
+    kept = _entries_of(old, LEDGER.table)
+    if not changed.keys() & {"loan", "installment", "payment"}:
+        return kept
+    if not kept:
+        t = {name: _newest(spark, root, name, new) for name in ("installment", "loan", "payment")}
+        whole = exposure_ledger(t["installment"], t["loan"], t["payment"], ALWAYS)
+        return signed.add(spark, root, kept, LEDGER, whole, version)
+    _changed_loans(spark, root, new, changed).write.parquet(f"{staging}/loans")
+    loans = spark.read.schema("loan_id long").parquet(f"{staging}/loans")
+    before, after = (_loan_rows(spark, root, e, loans) for e in (old, new))
+    difference = ledger_difference(before, after)
+    return signed.add(spark, root, kept, LEDGER, difference, version)
+
+
+def _changed_loans(spark, root, entries, changed) -> DataFrame:
+    """Ids of the loans whose own row, installments or payments are among the changed rows."""
+    found = [changed[n].select("loan_id") for n in ("loan", "installment") if n in changed]
+    if "payment" in changed:
+        # A payment counts for the loan of its installment, which its own loan id need not be.
+        paid = changed["payment"].select("installment_id", "loan_id").distinct()
+        hinted = rows_under(spark, root, "installment", entries, paid.select("loan_id").distinct())
+        matched = hinted.join(paid.select("installment_id").distinct(), "installment_id", "left_semi")
+        found.append(matched.select("loan_id"))
+        strays = paid.join(matched.select("installment_id"), "installment_id", "left_anti")
+        if not strays.isEmpty():
+            others = _newest(spark, root, "installment", entries).join(
+                strays.select("installment_id"), "installment_id", "left_semi"
+            )
+            found.append(others.select("loan_id"))
+    every = found[0]
+    for one in found[1:]:
+        every = every.unionAll(one)
+    return every.distinct()
+
+
+def _loan_rows(spark, root, entries, loans: DataFrame) -> dict[str, DataFrame]:
+    """Newest versions of some loans, of their installments and of the payments of these."""
+    installments = rows_under(spark, root, "installment", entries, loans)
+    return {
+        "loan": rows_under(spark, root, "loan", entries, loans),
+        "installment": installments,
+        "payment": rows_under(
+            spark, root, "payment", entries, installments.select("installment_id").distinct()
+        ),
+    }
+
+
+def rows_under(
+    spark: SparkSession, root: str, name: str, entries: versions.Entries, parents: DataFrame
+) -> DataFrame:
+    """Newest versions whose :data:`PLACE` column is one of ``parents``, a frame of that column.
+
+    Only parts that can hold them are read; few parents are also named in the scan's filter.
+    """
+    column = PLACE[name][0]
+    parts = {r[0] for r in parents.select(_bucket(name)).distinct().collect()}
+    # recent parts hold all keys, and so do parts that were placed by another column
+    wanted = {
+        (table, part): path
+        for (table, part), path in entries.items()
+        if table == f"newest/{name}"
+        and (part.split(".")[0] in parts or not part.startswith(f"{column}-"))
+    }
+    rows = _newest(spark, root, name, wanted).drop("part")
+    few = parents.limit(NAMED_KEYS + 1).collect()
+    if len(few) <= NAMED_KEYS:
+        return rows.filter(F.col(column).isin([r[0] for r in few]))
+    return rows.join(parents, column, "left_semi")
+
+
+def _kept_counts(spark, root, old, new, changed, version) -> versions.Entries:
+    """Entries of the reference counts and of the check values after the changed rows."""
+    kept = _entries_of(old, COUNTS.table)
+    values = {name: old.get((f"{CHECK_VALUE}{name}", "value")) for name in CHECKED}
+    if None in values.values():
+        # events from before the counts were kept
+        kept, values = {}, dict.fromkeys(CHECKED, 0)
+        changed = {n: _newest(spark, root, n, new).withColumn("sign", F.lit(1)) for n in KEYS}
+    changes = counted(changed)
+    if changes is None:
+        return {**kept, **_entries_of(old, CHECK_VALUE)}
+    buckets = signed.buckets_of(COUNTS, changes)
+    difference = value_changes(signed.read(spark, root, kept, COUNTS, buckets), changes)
+    told = {
+        (f"{CHECK_VALUE}{name}", "value"): str(int(value) + difference.get(name, 0))
+        for name, value in values.items()
+    }
+    return {**signed.add(spark, root, kept, COUNTS, changes, version), **told}
+
+
+def check_values(entries: versions.Entries) -> dict[str, int]:
+    """Values of the reference checks for the current events, as far as they are kept up."""
+    found = {name: entries.get((f"{CHECK_VALUE}{name}", "value")) for name in CHECKED}
+    return {name: int(value) for name, value in found.items() if value is not None}
 
 
 def _add_newest(
-    spark, root, name, entries, new: DataFrame, added: int, version: str
+    spark, root, name, entries, new: DataFrame, added: int, version: str, images: str
 ) -> tuple[versions.Entries, set]:
     """Parts with the newest versions that the new events change, and the parts they replace.
 
+    The changed rows are written to ``images``: with sign 1 those that are the newest now,
+    with sign -1 those that they replace.
+
     The new events that are the newest of their key become a *recent* part, which goes before the
     others when the table is read. Recent parts are folded into the others, of which
     only those with a key of theirs are written again, when they
@@ -174,24 +339,32 @@ def _add_newest(
     keys = new.select(key).distinct()
     before = _newest(spark, root, name, entries).drop("part").join(keys, key, "left_semi")
     won = merge_latest(before, new, key).join(new.select(membership.ID), membership.ID, "left_semi")
+    newer = won.select(key, F.col(membership.ID).alias("_winner"))
+    lost = before.join(newer, key).filter(F.col(membership.ID) != F.col("_winner"))
+    won.withColumn("sign", F.lit(1)).unionByName(
+        lost.select(*before.columns, F.lit(-1).alias("sign"))
+    ).write.parquet(images)
+    won = spark.read.schema(f"{versions.ddl(EVENTS[name])}, sign int").parquet(images)
+    won = won.filter("sign = 1").drop("sign")
     recent = {p: int(p.split("-")[1]) for (t, p) in entries if t == table and p.startswith(RECENT)}
     events = added + sum(int(p.split("-")[0]) for (t, p) in entries if t == f"ids/{name}")
     if (sum(recent.values()) + added) * FOLD <= events:
         rows, parts = versions.stage(
-            won.withColumn("part", F.lit(RECENT)), root, table, version, "part"
+            won.withColumn("part", F.lit(RECENT)), root, table, version, "part", _order(name)
         )
         return {(table, f"{RECENT}-{rows}-{version}"): p for p in parts.values()}, set()
     base, late = _layers(spark, root, name, entries)
     changed = latest_version(won if late is None else late.unionByName(won), key)
     changed = changed.withColumn("part", _part_of(name))
     touched = {r["part"] for r in changed.select("part").distinct().collect()}
-    if name in BY_MONTH:
-        # a correction may move a row to another month
-        moved = base.select(key, "part").join(changed.select(key), key, "left_semi")
-        touched |= {r["part"] for r in moved.select("part").distinct().collect()}
+    # a correction may move a row to another month or loan
+    moved = base.select(key, "part").join(changed.select(key), key, "left_semi")
+    touched |= {r["part"] for r in moved.select("part").distinct().collect()}
     beside = base.filter(F.col("part").isin(sorted(touched)))
     kept = beside.join(changed.select(key), key, "left_anti")
-    _, parts = versions.stage(kept.unionByName(changed), root, table, version, "part")
+    _, parts = versions.stage(
+        kept.unionByName(changed), root, table, version, "part", _order(name)
+    )
     gone = {(table, p) for p in {*touched, *recent}}
     return {(table, p): path for p, path in parts.items()}, gone
 
@@ -211,7 +384,8 @@ def load_events(spark: SparkSession, root: str, batch: dict[str, DataFrame]) ->
 
 def _sweep(spark: SparkSession, root: str) -> None:
     tables = [f"{kind}/{name}" for kind in ("raw", "newest", "ids", "bloom") for name in KEYS]
-    versions.sweep(spark, root, [*tables, *[f"mart/{name}" for name in MARTS]])
+    tables += [LEDGER.table, COUNTS.table, *[f"mart/{name}" for name in MARTS]]
+    versions.sweep(spark, root, tables)
 
 
 def _layers(spark, root, name, entries) -> tuple[DataFrame, DataFrame | None]:
@@ -263,11 +437,13 @@ def stage_marts(
     span: ReportSpan,
     marts=tuple(MARTS),
     only: dict[str, list[date]] | None = None,
+    anew: bool = False,
 ) -> tuple[dict[str, int], versions.Entries]:
     """Write the marts of every date in the span; returns rows and entries, not yet current.
 
     With ``only``, a mart's dates outside its list are taken to be right: they are neither
-    computed, but for gaps between listed dates, nor written.
+    computed, but for gaps between listed dates, nor written. Portfolio and vintage come from
+    the stored ledger, or ``anew`` from the events.
     """
     spark = tables["loan"].sparkSession
     version = _version()
@@ -302,9 +478,14 @@ def stage_marts(
         # Both marts roll up the same ledger, so it is written once.
         span = within("daily_portfolio_kpi", "vintage_kpi")
         path = f"{root}/staging/ledger-{version}"
-        exposure_ledger(
-            tables["installment"], tables["loan"], tables["payment"], span
-        ).write.mode("overwrite").parquet(path)
+        if signed.stored(entries, LEDGER) and not anew:
+            always = signed.read(spark, root, entries, LEDGER)
+            changes = LEDGER.totals(ledger_within(always, span))
+        else:
+            changes = exposure_ledger(
+                tables["installment"], tables["loan"], tables["payment"], span
+            )
+        changes.write.mode("overwrite").parquet(path)
         ledger = spark.read.parquet(path)
         build = {"daily_portfolio_kpi": portfolio_from_changes, "vintage_kpi": vintage_from_changes}
         done = _in_parallel(
@@ -329,11 +510,16 @@ def stage_marts(
 
 
 def refresh_marts(
-    tables: dict[str, DataFrame], root: str, span: ReportSpan, marts=tuple(MARTS)
+    tables: dict[str, DataFrame],
+    root: str,
+    span: ReportSpan,
+    marts=tuple(MARTS),
+    anew: bool = False,
 ) -> dict[str, int]:
     """Recompute the marts of every date in the span and publish them by one switch."""
     spark = tables["loan"].sparkSession
-    counts, entries = stage_marts(tables, root, versions.current(spark, root), span, marts)
+    current = versions.current(spark, root)
+    counts, entries = stage_marts(tables, root, current, span, marts, anew=anew)
     versions.publish(spark, root, entries)
     return counts
 
@@ -481,7 +667,8 @@ def run(
         # reference checks read applications whole, the volume check only the months it needs
         whole = canonical_tables(spark, root, entries)
         whole["recent_application"] = tables["application"]
-        checks = _record_checks(spark, root, report_date, all_checks(whole, report_date))
+        results = all_checks(whole, report_date, check_values(entries))
+        checks = _record_checks(spark, root, report_date, results)
         verdict = gate(checks).first()
         if verdict.status == "success":
             _, entries = stage_marts(tables, root, entries, span)
@@ -519,9 +706,9 @@ def backfill(
 
 
 def rebuild(spark: SparkSession, root: str, start: date, end: date) -> dict[str, int]:
-    """Rebuild all marts for every date of a range in one pass."""
+    """Rebuild all marts for every date of a range from the events, in one pass."""
     span = ReportSpan(start, end)
-    return refresh_marts(canonical_tables(spark, root, span=span), root, span)
+    return refresh_marts(canonical_tables(spark, root, span=span), root, span, anew=True)
 
 
 def validate(spark: SparkSession, root: str, report_date: date) -> DataFrame:

@@ -65,12 +65,17 @@ def sweep(spark: SparkSession, root: str, tables: Iterable[str]) -> None:
 
 
 def stage(
-    df: DataFrame, root: str, table: str, version: str, part: str | None = None
+    df: DataFrame,
+    root: str,
+    table: str,
+    version: str,
+    part: str | None = None,
+    order: Iterable[str] = (),
 ) -> tuple[int, dict[str, str]]:
     """Write a frame as a version of a table; returns its rows and the parts written.
 
     ``part`` is the partition column, of few values; each gets few files, a large one
-    more. Nothing is current before :func:`publish`.
+    more, with rows in the given order. Nothing is current before :func:`publish`.
     """
     folder = f"{table}/version={version}"
     seen = Observation()
@@ -81,6 +86,8 @@ def stage(
         return rows, {version: folder} if rows else {}
     values = F.collect_set(F.col(part).cast("string")).alias("values")
     rebalanced = df.hint("rebalance", part).observe(seen, counted, values)
+    if order := list(order):
+        rebalanced = rebalanced.sortWithinPartitions(part, *order)
     rebalanced.write.mode("overwrite").partitionBy(part).parquet(f"{root}/{folder}")
     found = seen.get
     return found["rows"], {v: f"{folder}/{part}={v}" for v in found["values"]}
@@ -107,10 +114,10 @@ def read(
     if not paths:
         empty = spark.createDataFrame([], schema)
         return empty if len(columns) == len(schema) else empty.withColumn(part, F.lit(""))
-    declared = schema if len(columns) == len(schema) else f"{_ddl(schema)}, {part} string"
+    declared = schema if len(columns) == len(schema) else f"{ddl(schema)}, {part} string"
     reader = spark.read.schema(declared).option("basePath", f"{root}/{table}")
     return reader.parquet(*paths).select(*columns)
 
 
-def _ddl(schema) -> str:
+def ddl(schema) -> str:
     return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
