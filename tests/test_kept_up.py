@@ -104,7 +104,7 @@ def test_a_root_without_ledger_and_counts_gets_them(spark, make, tmp_path):
     equal_whole(spark, root)
 
 
-def test_one_loan_reads_its_own_parts(spark, make, tmp_path):
+def test_one_loan_reads_its_own_parts(spark, make, tmp_path, monkeypatch):
     root = str(tmp_path / "lake")
     loans = spark.range(400)
     base = {
@@ -123,7 +123,12 @@ def test_one_loan_reads_its_own_parts(spark, make, tmp_path):
         found = jobs.rows_under(spark, root, name, entries, one)
         stored = jobs.canonical_tables(spark, root)[name]
         assert len(found.inputFiles()) * 10 < len(stored.inputFiles())
-        assert rows(found) == rows(stored.join(one, one.columns, "left_semi").select(*found.columns))
+        expected = rows(stored.join(one, one.columns, "left_semi").select(*found.columns))
+        assert len(expected) in (1, 6) and rows(found) == expected
+        with monkeypatch.context() as patched:
+            patched.setattr(jobs, "NAMED_KEYS", 0)
+            joined = jobs.rows_under(spark, root, name, entries, one)
+            assert rows(joined.select(*found.columns)) == expected
     jobs.load_events(spark, root, dict(payment=make("payment", dict(payment_id=5000, loan_id=7, installment_id=42))))
     equal_whole(spark, root)
 

@@ -281,7 +281,10 @@ def rows_under(
     Only parts that can hold them are read; few parents are also named in the scan's filter.
     """
     column = PLACE[name][0]
-    parts = {r[0] for r in parents.select(_bucket(name)).distinct().collect()}
+    keyed = parents.select(column, _bucket(name).alias("part"))
+    few = keyed.limit(NAMED_KEYS + 1).collect()
+    named = len(few) <= NAMED_KEYS
+    parts = {r["part"] for r in (few if named else keyed.select("part").distinct().collect())}
     # recent parts hold all keys, and so do parts that were placed by another column
     wanted = {
         (table, part): path
@@ -290,8 +293,7 @@ def rows_under(
         and (part.split(".")[0] in parts or not part.startswith(f"{column}-"))
     }
     rows = _newest(spark, root, name, wanted).drop("part")
-    few = parents.limit(NAMED_KEYS + 1).collect()
-    if len(few) <= NAMED_KEYS:
+    if named:
         return rows.filter(F.col(column).isin([r[0] for r in few]))
     return rows.join(parents, column, "left_semi")
 
