@@ -16,6 +16,7 @@ from tidemark.schemas import DQ_SUMMARY, EVENTS, KEYS, MARTS, MONEY
 from tidemark.sources import storage
 from tidemark.sources.driver_tables import event_table, event_tables, read
 from tidemark.streaming import ingest as streams
+from tidemark.streaming import keyed
 
 REPORT_DATE = date(1998, 6, 30)
 LOOKBACK = report_span(REPORT_DATE)
@@ -573,6 +574,12 @@ def report_vintage_heatmap(t):
     return reports.report_vintage_rates(t.published("credit", "portfolio", "vintage"))
 
 
+@query
+def report_vintage_wide(t):
+    """The heat-map with a column for each month on book up to the highest."""
+    return reports.report_vintage_heatmap(t.published("credit", "portfolio", "vintage"))
+
+
 @query
 def report_campaign_summary(t):
     return reports.report_campaign_summary(t.published("credit", "portfolio", "campaign"))
@@ -793,6 +800,25 @@ def stream_ingest(t):
     return t.spark.read.parquet(f"{out}/sink").drop("ingested_at")
 
 
+@query
+def stream_keyed_ingest(t):
+    """All events land, are streamed in, land again and add nothing; the stream's state knows their ids."""
+    out = _folder(t, "stream_keyed_ingest")
+    events = read(t.spark, t.sf_dir, "events").select(
+        F.concat(F.lit("event:"), F.col("event_id").cast("string")).alias("source_event_id"),
+        F.col("ts").cast("timestamp").alias("ingested_at"),
+        "user_id",
+        "event_type",
+        "value",
+    )
+    for _ in range(2):
+        events.write.mode("append").parquet(f"{out}/landing")
+        keyed.stream_unseen(
+            t.spark, f"{out}/landing", events.schema, f"{out}/sink", f"{out}/checkpoint"
+        )
+    return t.spark.read.parquet(f"{out}/sink").drop("ingested_at")
+
+
 @query
 def stream_refresh(t):
     """A root holds loans, schedules and first payment versions; all payments stream in.
