@@ -1,5 +1,7 @@
 """Credit-funnel and campaign marts, and rates derived from them."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -7,6 +9,7 @@ from tidemark.functions.columns import cents, from_cents, ratio
 from tidemark.functions.span import ReportSpan
 from tidemark.operators.attribution import CUSTOMER_CAMPAIGN, join_within_days
 from tidemark.schemas import MARTS, conform
+from tidemark.sources.signed import Signed
 
 
 def _sums(columns):
@@ -87,15 +90,30 @@ def credit_kpi(
     )
 
 
-def _outcomes(applications: DataFrame, loans: DataFrame, span: ReportSpan, since: str) -> DataFrame:
+# Days after a touch on which an application is credited to it, and on which it is reported.
+ATTRIBUTION_DAYS = 7
+TOUCH_DAYS = 30
+
+_GROUP = ["touch_date", "campaign_id", "channel"]
+_COUNTS = ["touches", "opens", "clicks", "applications", "funded_count"]
+
+#: The campaign mart's changes of all time: per touch date, campaign, channel and day.
+CAMPAIGN_LEDGER = Signed(
+    "ledger/campaign",
+    ("touch_date date", "campaign_id string", "channel string", "change_date date"),
+    (*_COUNTS, "loan_cents"),
+)
+
+
+def _outcomes(applications: DataFrame, loans: DataFrame) -> DataFrame:
     """Campaign applications and their loans per customer, campaign and day.
 
     ``visible_date`` is the day from which a count belongs in a report: the
     application date, or the later disbursement date of a loan.
     """
-    applied = applications.filter(
-        f"campaign_id IS NOT NULL AND application_date BETWEEN {since} AND {span.last_sql}"
-    ).select("application_id", *CUSTOMER_CAMPAIGN, "application_date")
+    applied = applications.filter("campaign_id IS NOT NULL").select(
+        "application_id", *CUSTOMER_CAMPAIGN, "application_date"
+    )
     key = [*CUSTOMER_CAMPAIGN, "application_date"]
     submitted = (
         applied.groupBy(*key)
@@ -108,7 +126,7 @@ def _outcomes(applications: DataFrame, loans: DataFrame, span: ReportSpan, since
             "0L AS loan_cents",
         )
     )
-    disbursed = loans.filter(f"disbursement_date <= {span.last_sql}").selectExpr(
+    disbursed = loans.selectExpr(
         "application_id", "disbursement_date", f"{cents('principal')} AS loan_cents"
     )
     funded = (
@@ -123,46 +141,34 @@ def _outcomes(applications: DataFrame, loans: DataFrame, span: ReportSpan, since
     return submitted.unionByName(funded)
 
 
-def campaign_kpi(
+def campaign_changes(
     touches: DataFrame,
     applications: DataFrame,
     loans: DataFrame,
-    span: ReportSpan,
-    attribution_days: int = 7,
-    touch_days: int = 30,
+    attribution_days: int = ATTRIBUTION_DAYS,
+    touch_days: int = TOUCH_DAYS,
 ) -> DataFrame:
-    """Touches of the last ``touch_days`` days and what followed them, per report date.
+    """What touches and the outcomes credited to them add to their group, and from which day on.
 
-    Any touch within ``attribution_days`` before an application is credited, so two
-    touches of one customer in a group double the funded amount while applications
-    and loans stay distinct. Outcomes become visible from the day they happen: the
-    join runs once for the whole span and the report dates come from running sums.
     Both sides meet as one row per customer and day, so a customer or campaign with
-    very many touches stays bounded by the calendar.
+    very many touches stays bounded by the calendar. Rows aren't added up yet.
     """
-    group = ["touch_date", "campaign_id", "channel"]
-    since = f"date_sub({span.first_sql}, {touch_days})"
-    per_customer = (
-        touches.filter(f"touch_date BETWEEN {since} AND {span.last_sql}")
-        .groupBy(*group, "customer_id")
-        .agg(
-            F.count(F.lit(1)).alias("touches"),
-            F.count_if("opened").alias("opens"),
-            F.count_if("clicked").alias("clicks"),
-        )
+    per_customer = touches.groupBy(*_GROUP, "customer_id").agg(
+        F.count(F.lit(1)).alias("touches"),
+        F.count_if("opened").alias("opens"),
+        F.count_if("clicked").alias("clicks"),
     )
     credited = join_within_days(
         per_customer,
-        _outcomes(applications, loans, span, since),
+        _outcomes(applications, loans),
         CUSTOMER_CAMPAIGN,
         "touch_date",
         "application_date",
         attribution_days,
     )
-    until = f"date_add(touch_date, {touch_days})"
     activity = per_customer.selectExpr(
-        *group,
-        f"{span.clamp('touch_date')} AS change_date",
+        *_GROUP,
+        "touch_date AS change_date",
         "touches",
         "opens",
         "clicks",
@@ -170,9 +176,9 @@ def campaign_kpi(
         "0L AS funded_count",
         "0L AS loan_cents",
     )
-    results = credited.filter(f"visible_date <= {until}").selectExpr(
-        *group,
-        f"{span.clamp('visible_date')} AS change_date",
+    results = credited.filter(f"visible_date <= date_add(touch_date, {touch_days})").selectExpr(
+        *_GROUP,
+        "visible_date AS change_date",
         "0L AS touches",
         "0L AS opens",
         "0L AS clicks",
@@ -180,27 +186,117 @@ def campaign_kpi(
         "funded_count",
         "loan_cents * touches AS loan_cents",
     )
-    counts = ["touches", "opens", "clicks", "applications", "funded_count"]
-    changes = (
-        activity.unionByName(results)
-        .groupBy(*group, "change_date")
-        .agg(*_sums([*counts, "loan_cents"]))
+    return activity.unionByName(results)
+
+
+def touch_days_of(
+    changed: dict[str, DataFrame], applications: DataFrame, days: int = ATTRIBUTION_DAYS
+) -> DataFrame | None:
+    """Customer, campaign and touch date of every touch whose credit changed rows can alter.
+
+    ``changed`` holds what the rows were and what they are, by table: touches stand for themselves,
+    an application for the days before it, a loan for its application among ``applications``.
+    None if no table has any.
+    """
+    found, applied = [], []
+    if "marketing_touch" in changed:
+        found.append(changed["marketing_touch"].select(*CUSTOMER_CAMPAIGN, "touch_date"))
+    if "application" in changed:
+        applied.append(changed["application"].select(*CUSTOMER_CAMPAIGN, "application_date"))
+    if "loan" in changed:
+        keys = changed["loan"].select("application_id").distinct()
+        own = applications.join(keys, "application_id", "left_semi")
+        applied.append(own.select(*CUSTOMER_CAMPAIGN, "application_date"))
+    before = f"explode(sequence(date_sub(application_date, {days}), application_date))"
+    found += [
+        rows.filter("campaign_id IS NOT NULL")
+        .distinct()
+        .selectExpr(*CUSTOMER_CAMPAIGN, f"{before} AS touch_date")
+        for rows in applied
+    ]
+    return reduce(DataFrame.unionAll, found).distinct() if found else None
+
+
+def campaign_difference(
+    before: dict[str, DataFrame], after: dict[str, DataFrame], touch_days: DataFrame
+) -> DataFrame:
+    """What the stored ledger lacks when the credit of the touches on ``touch_days`` changes.
+
+    Only touches of these customers, campaigns and days meet applications: new touches all
+    of them, stored touches those around a changed one. What they were credited with before is taken
+    back. Both dicts must hold every row that the touch days can reach.
+    """
+    customers = touch_days.select(*CUSTOMER_CAMPAIGN).distinct()
+
+    def changes(t):
+        touches = t["marketing_touch"].join(
+            touch_days, [*CUSTOMER_CAMPAIGN, "touch_date"], "left_semi"
+        )
+        applied = t["application"].join(customers, CUSTOMER_CAMPAIGN, "left_semi")
+        return CAMPAIGN_LEDGER.totals(campaign_changes(touches, applied, t["loan"]))
+
+    keys = CAMPAIGN_LEDGER.key_names
+    taken = changes(before).select(*keys, *[(-F.col(m)).alias(m) for m in CAMPAIGN_LEDGER.measures])
+    return changes(after).select(*taken.columns).unionAll(taken)
+
+
+def campaign_from_ledger(ledger: DataFrame, span: ReportSpan) -> DataFrame:
+    """The campaign mart of a span from the stored ledger, runs not added up."""
+    since = f"date_sub({span.first_sql}, {TOUCH_DAYS})"
+    near = ledger.filter(
+        f"touch_date BETWEEN {since} AND {span.last_sql} AND change_date <= {span.last_sql}"
     )
-    by_date = f"OVER (PARTITION BY {', '.join(group)} ORDER BY change_date"
-    levels = changes.selectExpr(
-        *group,
+    return _campaign_mart(CAMPAIGN_LEDGER.totals(near), span, TOUCH_DAYS)
+
+
+def campaign_kpi(
+    touches: DataFrame,
+    applications: DataFrame,
+    loans: DataFrame,
+    span: ReportSpan,
+    attribution_days: int = ATTRIBUTION_DAYS,
+    touch_days: int = TOUCH_DAYS,
+) -> DataFrame:
+    """Touches of the last ``touch_days`` days and what followed them, per report date.
+
+    Any touch within ``attribution_days`` before an application is credited, so two
+    touches of one customer in a group double the funded amount while applications
+    and loans stay distinct. Outcomes become visible from the day they happen: the
+    join runs once for the whole span and the report dates come from running sums.
+    """
+    within = f"BETWEEN date_sub({span.first_sql}, {touch_days}) AND {span.last_sql}"
+    changes = campaign_changes(
+        touches.filter(f"touch_date {within}"),
+        applications.filter(f"application_date {within}"),
+        loans.filter(f"disbursement_date <= {span.last_sql}"),
+        attribution_days,
+        touch_days,
+    )
+    return _campaign_mart(changes, span, touch_days)
+
+
+def _campaign_mart(changes: DataFrame, span: ReportSpan, touch_days: int) -> DataFrame:
+    daily = (
+        changes.withColumn("change_date", F.expr(span.clamp("change_date")))
+        .groupBy(*_GROUP, "change_date")
+        .agg(*_sums([*_COUNTS, "loan_cents"]))
+    )
+    until = f"date_add(touch_date, {touch_days})"
+    by_date = f"OVER (PARTITION BY {', '.join(_GROUP)} ORDER BY change_date"
+    levels = daily.selectExpr(
+        *_GROUP,
         "change_date",
         f"least(date_sub(lead(change_date) {by_date}), 1), {until}) AS holds_until",
         *[
             f"sum({m}) {by_date} ROWS UNBOUNDED PRECEDING) AS {m}"
-            for m in [*counts, "loan_cents"]
+            for m in [*_COUNTS, "loan_cents"]
         ],
     )
     return conform(
         levels.selectExpr(
             f"{span.days('change_date', 'holds_until')} AS report_date",
-            *group,
-            *counts,
+            *_GROUP,
+            *_COUNTS,
             f"{from_cents('loan_cents')} AS funded_amount",
         ),
         MARTS["daily_campaign_kpi"],

@@ -3,9 +3,10 @@
 Tables below ``root`` are versioned folders (see :mod:`tidemark.sources.versions`):
 ``raw/<table>`` append-only events, one part for each load; ``newest/<table>`` the newest
 version of each key, by month of the business date or by a hash of the key;
-``mart/<table>`` by report date; ``ledger/exposure`` the balance changes of all time and
-``counts/references`` the counts behind the reference checks, both kept up by the rows that a
-load changes. ``audit/<table>`` are plain tables. One writer per root is assumed.
+``mart/<table>`` by report date; ``ledger/exposure`` the balance changes of all time,
+``ledger/campaign`` those of the campaign mart and ``counts/references`` the counts behind the
+reference checks, all kept up by the rows that a load changes. ``audit/<table>`` are plain
+tables. One writer per root is assumed.
 """
 
 from collections.abc import Callable
@@ -29,7 +30,16 @@ from tidemark.operators.ingest import (
 from tidemark.operators.quality import all_checks, dq_summary, gate
 from tidemark.operators.references import CHECKED, COUNTS, counted, value_changes
 from tidemark.operators.upsert import keyed_upsert
-from tidemark.plans.acquisition import campaign_kpi, credit_kpi
+from tidemark.plans.acquisition import (
+    ATTRIBUTION_DAYS,
+    CAMPAIGN_LEDGER,
+    campaign_changes,
+    campaign_difference,
+    campaign_from_ledger,
+    campaign_kpi,
+    credit_kpi,
+    touch_days_of,
+)
 from tidemark.plans.exposure import (
     ALWAYS,
     LEDGER,
@@ -206,14 +216,16 @@ def _staged(spark, root, entries, batch, version, staging) -> tuple[int, version
     after = {**{k: p for k, p in entries.items() if k not in gone}, **made}
     if not changed:
         return total, after
-    ledger, counts = _in_parallel(
+    ledger, campaign, counts = _in_parallel(
         [
             lambda: _kept_ledger(spark, root, entries, after, changed, version, staging),
+            lambda: _kept_campaign(spark, root, entries, after, changed, version, staging),
             lambda: _kept_counts(spark, root, entries, after, changed, version),
         ]
     )
-    kept = {k: p for k, p in after.items() if k[0] not in (LEDGER.table, COUNTS.table)}
-    return total, {**kept, **ledger, **counts}
+    stale = (LEDGER.table, CAMPAIGN_LEDGER.table, COUNTS.table)
+    kept = {k: p for k, p in after.items() if k[0] not in stale}
+    return total, {**kept, **ledger, **campaign, **counts}
 
 
 def _entries_of(entries: versions.Entries, *kinds: str) -> versions.Entries:
@@ -240,6 +252,44 @@ def _kept_ledger(spark, root, old, new, changed, version, staging) -> versions.E
     return signed.add(spark, root, kept, LEDGER, difference, version)
 
 
+def _kept_campaign(spark, root, old, new, changed, version, staging) -> versions.Entries:
+    """Entries of the campaign ledger with what the changed rows alter.
+
+    New touches meet all applications in reach, stored touches the changed ones, and what they
+    were credited with before is taken back. Touches and applications are read from the months
+    around these days. A root without a campaign ledger gets that of all its touches.
+    """
+    kept = _entries_of(old, CAMPAIGN_LEDGER.table)
+    if not changed.keys() & {"marketing_touch", "application", "loan"}:
+        return kept
+    names = ("marketing_touch", "application", "loan")
+    if not kept:
+        t = {name: _newest(spark, root, name, new) for name in names}
+        whole = campaign_changes(t["marketing_touch"], t["application"], t["loan"])
+        return signed.add(spark, root, kept, CAMPAIGN_LEDGER, whole, version)
+    applied = _newest(spark, root, "application", new)
+    touch_days_of(changed, applied).write.parquet(f"{staging}/touch-days")
+    ddl = "customer_id long, campaign_id string, touch_date date"
+    touch_days = spark.read.schema(ddl).parquet(f"{staging}/touch-days")
+    months = {
+        "marketing_touch": _months(touch_days, "touch_date"),
+        "application": _months(touch_days, "touch_date", f"date_add(touch_date, {ATTRIBUTION_DAYS})"),
+    }
+
+    def rows(entries):
+        t = {name: _newest(spark, root, name, entries) for name in names}
+        return {n: f.filter(F.col("part").isin(months[n])) if n in months else f for n, f in t.items()}
+
+    difference = campaign_difference(rows(old), rows(new), touch_days)
+    return signed.add(spark, root, kept, CAMPAIGN_LEDGER, difference, version)
+
+
+def _months(rows: DataFrame, *dates: str) -> list[str]:
+    """Months, as parts are named, of date expressions of the rows; the calendar bounds them."""
+    named = ", ".join(f"date_format({d}, 'yyyy-MM')" for d in dates)
+    return [r[0] for r in rows.selectExpr(f"explode(array({named}))").distinct().collect()]
+
+
 def _changed_loans(spark, root, entries, changed) -> DataFrame:
     """Ids of the loans whose own row, installments or payments are among the changed rows."""
     found = [changed[n].select("loan_id") for n in ("loan", "installment") if n in changed]
@@ -386,7 +436,7 @@ def load_events(spark: SparkSession, root: str, batch: dict[str, DataFrame]) ->
 
 def _sweep(spark: SparkSession, root: str) -> None:
     tables = [f"{kind}/{name}" for kind in ("raw", "newest", "ids", "bloom") for name in KEYS]
-    tables += [LEDGER.table, COUNTS.table, *[f"mart/{name}" for name in MARTS]]
+    tables += [LEDGER.table, CAMPAIGN_LEDGER.table, COUNTS.table, *[f"mart/{name}" for name in MARTS]]
     versions.sweep(spark, root, tables)
 
 
@@ -444,8 +494,8 @@ def stage_marts(
     """Write the marts of every date in the span; returns rows and entries, not yet current.
 
     With ``only``, a mart's dates outside its list are taken to be right: they are neither
-    computed, but for gaps between listed dates, nor written. Portfolio and vintage come from
-    the stored ledger, or ``anew`` from the events.
+    computed, but for gaps between listed dates, nor written. Portfolio, vintage and
+    campaign come from the stored ledgers, or ``anew`` from the events.
     """
     spark = tables["loan"].sparkSession
     version = _version()
@@ -471,6 +521,9 @@ def stage_marts(
 
     def campaign():
         span = within("daily_campaign_kpi")
+        if signed.stored(entries, CAMPAIGN_LEDGER) and not anew:
+            ledger = signed.read(spark, root, entries, CAMPAIGN_LEDGER)
+            return [write("daily_campaign_kpi", campaign_from_ledger(ledger, span))]
         frame = campaign_kpi(
             tables["marketing_touch"], tables["application"], tables["loan"], span
         )
