@@ -21,7 +21,6 @@ from tidemark.functions.span import ReportSpan, report_span, single
 from tidemark.operators.affected import affected_dates, changed_images
 from tidemark.operators.canonical import latest_version, merge_latest
 from tidemark.operators.ingest import (
-    backfill_touch_date,
     idempotent_append,
     negative_request_rule,
     null_counts,
@@ -59,7 +58,7 @@ from tidemark.schemas import (
     RUN_LOG,
     conform,
 )
-from tidemark.sources import membership, signed, versions
+from tidemark.sources import layouts, membership, signed, versions
 from tidemark.sources.storage import (
     append,
     delete_folder,
@@ -99,6 +98,16 @@ CHECK_VALUE = "check/"
 FOLD = 8
 
 
+# Marts whose columns have changed, with the steps from the first layout to the declared one.
+MART_LAYOUTS = {
+    "daily_campaign_kpi": layouts.Layouts(
+        MARTS["daily_campaign_kpi"],
+        # rows from before the touch date existed lack the column or its value
+        (layouts.Step({"touch_date date": "coalesce(touch_date, report_date)"}),),
+    ),
+}
+
+
 class RunFailure(RuntimeError):
     pass
 
@@ -114,8 +123,25 @@ def raw_table(spark: SparkSession, root: str, name: str, entries=None) -> DataFr
 
 def mart_table(spark: SparkSession, root: str, name: str, entries=None) -> DataFrame:
     entries = versions.current(spark, root) if entries is None else entries
-    mart = versions.read(spark, root, entries, f"mart/{name}", MARTS[name])
-    return backfill_touch_date(mart) if name == "daily_campaign_kpi" else mart
+    if name in MART_LAYOUTS:
+        return layouts.read(spark, root, entries, f"mart/{name}", MART_LAYOUTS[name])
+    return versions.read(spark, root, entries, f"mart/{name}", MARTS[name])
+
+
+def migrate(spark: SparkSession, root: str) -> int:
+    """Write mart parts that are in older layouts again in the newest; returns how many there were.
+
+    Readers upgrade them anyway, so this only saves them the work.
+    """
+    old = entries = versions.current(spark, root)
+    for name, steps in MART_LAYOUTS.items():
+        entries = layouts.rewritten(
+            spark, root, entries, f"mart/{name}", steps, _version(), "report_date"
+        )
+    changed = sum(entries.get(key) != path for key, path in old.items())
+    if changed:
+        versions.publish(spark, root, entries)
+    return changed
 
 
 def _in_parallel(tasks: list) -> list:
@@ -511,7 +537,8 @@ def stage_marts(
     def write(name, frame):
         if only is not None:
             frame = frame.filter(F.col("report_date").isin(dates[name]))
-        rows, parts = versions.stage(frame, root, f"mart/{name}", version, "report_date")
+        marked = MART_LAYOUTS[name].mark(version) if name in MART_LAYOUTS else version
+        rows, parts = versions.stage(frame, root, f"mart/{name}", marked, "report_date")
         return name, rows, parts
 
     def credit():

@@ -13,7 +13,7 @@ from tidemark.operators import asof, attribution, ingest, quality, schedule, ups
 from tidemark.operators.canonical import latest_version
 from tidemark.plans import acquisition, exposure, jobs, reports
 from tidemark.schemas import DQ_SUMMARY, EVENTS, KEYS, MARTS, MONEY
-from tidemark.sources import storage
+from tidemark.sources import layouts, storage, versions
 from tidemark.sources.driver_tables import event_table, event_tables, read
 from tidemark.streaming import ingest as streams
 from tidemark.streaming import keyed
@@ -287,6 +287,23 @@ def backfill_touch_date(t):
     )
 
 
+@query
+def migrate_touch_date(t):
+    """The campaign mart with its older days stored before the touch date existed, upgraded at read."""
+    root, table = _folder(t, "migrate_touch_date"), "mart/daily_campaign_kpi"
+    steps = jobs.MART_LAYOUTS["daily_campaign_kpi"]
+    mart = t.published("campaign")["daily_campaign_kpi"]
+    older = F.col("report_date") < F.date_sub(F.lit(REPORT_DATE), 20)
+    entries = {}
+    for version, frame in (
+        ("first", mart.filter(older).drop("touch_date")),
+        (steps.mark("second"), mart.filter(~older)),
+    ):
+        _, parts = versions.stage(frame, root, table, version, "report_date")
+        entries |= {(table, part): path for part, path in parts.items()}
+    return layouts.read(t.spark, root, entries, table, steps)
+
+
 @query
 def batch_event_totals(t):
     return ingest.batch_event_totals(event_tables(t.spark, t.sf_dir))
