@@ -44,3 +44,29 @@ def test_rejects_need_applications_alone(spark, tables, stored):
     rejects = QUERIES["quarantine_rejects"](spark, tables).collect()
     assert {r["source_event_id"] for r in rejects} == {"application:0:v1"}
     assert not [n for n in stored if not n.endswith("_application")]
+
+
+def test_marts_store_no_events_and_no_newest_versions(spark, tables, stored):
+    assert QUERIES["rebuild_range"](spark, tables).count() > 0
+    assert QUERIES["late_affected_dates"](spark, tables).count() > 0
+    assert set(stored) == {"loan_rows", "installment_rows"}
+
+
+def test_campaign_stores_what_its_reports_reach(spark, tables, stored):
+    QUERIES["mart_campaign"](spark, tables).collect()
+    assert not [n for n in stored if n.startswith(("raw_", "latest_"))]
+
+
+def test_installments_are_numbered_alike_on_both_ways(spark, tables, monkeypatch):
+    def rows():
+        found = driver_tables._installment_rows(spark, tables)
+        return sorted(map(tuple, found.collect()), key=str)
+
+    usual = rows()
+    monkeypatch.setattr(driver_tables, "LINE_BUCKETS", 8)
+    monkeypatch.setattr(driver_tables, "LONG_ORDER", 0)
+    assert rows() == usual  # order 3 has a third of all lines
+    of_order = [r[2] for r in usual if r[1] == 31]
+    # the line without a ship date counts as the first and is no installment
+    assert sorted(of_order) == list(range(2, 95))
+    assert len({r[0] for r in usual}) == len(usual)
