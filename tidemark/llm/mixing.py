@@ -223,12 +223,14 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     """
     picks = cut(plan(docs, text, source, doc_id, **options).where("picks > 0").select("_unit", "rows", "picks"))
     key = F.xxhash64(F.struct(doc_id, source).cast("string"), F.coalesce(F.col(text), F.lit("")), F.col(text).isNull())
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own"), key.alias("_unit")).join(picks, "_unit")
+    # repeated rows are numbered in groups of a bounded size
+    group = F.when(F.col("rows") > 1, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.ceil(F.col("rows") / GROUP)))
+    # the one exchange of texts, by the same plan at every size; written, so that both ways read it and a group stays what it is
+    joined = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own"), key.alias("_unit")).join(picks.hint("merge"), "_unit")
+    rows = cut(joined.withColumn("group", group))
     whole = F.floor(F.col("picks") / F.col("rows"))
     single = rows.where("rows = 1").select("own", F.col("picks").alias("times"))
-    # repeated rows are numbered in groups of a bounded size, written first so that a group stays what it is
-    group = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.ceil(F.col("rows") / GROUP))
-    several = cut(rows.where("rows > 1").withColumn("group", group))
+    several = rows.where("rows > 1")
     sizes = several.groupBy("_unit", "group").agg(F.count("*").alias("n"))
     before = W.partitionBy("_unit").orderBy("group").rowsBetween(W.unboundedPreceding, -1)
     starts = sizes.select("_unit", "group", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))

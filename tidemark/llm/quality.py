@@ -73,27 +73,27 @@ def depleted(gone: DataFrame, max_removed: float) -> DataFrame:
     return lost.where(F.col("lost") > max_removed * F.col("total")).select("key", "lost")
 
 
-def without_lines(docs: DataFrame, gone: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
-    """The frame with every text without its lines ``gone``, in order; the other lines stay as they are.
+def line_places(docs: DataFrame, gone: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
+    """Rows ``(key, cuts)``: the places, in order, of the lines ``gone`` in the texts that have some.
 
-    Only hashes and places of lines are exchanged to find them. A text is put together from
-    the stretches between the lines that go, which is linear in its length. The caller's columns
-    travel in one struct, so none of their names can clash.
+    Only hashes and places of lines are exchanged, never texts.
     """
-    keyed = docs.select(F.struct(*_named(docs)).alias("own"), F.col(text).alias("text"), F.coalesce(F.col(host), F.lit("\0")).alias("h"), _text_key(F.col(host), F.col(text)).alias("key"))
-    touched = keyed.join(gone.select("key").distinct(), "key", "left_semi")
-    hashed = touched.select("key", F.transform(_lines(F.col("text"), blank=True), lambda x: F.xxhash64("h", x)).alias("lines"))
+    lines = F.transform(_lines(F.col(text), blank=True), lambda x: F.xxhash64(F.coalesce(F.col(host), F.lit("\0")), x))
+    hashed = docs.select(_text_key(F.col(host), F.col(text)).alias("key"), lines.alias("lines")).join(gone.select("key").distinct(), "key", "left_semi")
     # copies of a text have the same lines: one row for each place
     places = hashed.select("key", F.posexplode("lines").alias("place", "line")).groupBy("key", "place").agg(F.first("line").alias("line"))
     found = places.join(gone.select("line", "key"), ["key", "line"])
-    cuts = found.groupBy("key").agg(F.sort_array(F.collect_list("place")).alias("cuts"))
-    parts = F.split(F.col("text"), "\n")
+    return found.groupBy("key").agg(F.sort_array(F.collect_list("place")).alias("cuts"))
+
+
+def _rest(text: Column, cuts: Column) -> Column:
+    """A text without its lines at the places ``cuts``, put together from the stretches between them; linear in its length."""
+    parts = F.split(text, "\n")
     # the array binds lines and ends once; a stretch goes from behind one line that goes to the next
-    bound = F.array(F.struct(parts.alias("lines"), F.concat(F.array(F.lit(-1)), "cuts", F.array(F.size(parts))).alias("ends")))
+    bound = F.array(F.struct(parts.alias("lines"), F.concat(F.array(F.lit(-1)), cuts, F.array(F.size(parts))).alias("ends")))
     stretches = F.transform(bound, lambda x: F.zip_with(F.slice(x["ends"], 1, F.size(x["ends"]) - 1), F.slice(x["ends"], 2, F.size(x["ends"]) - 1), lambda a, b: F.slice(x["lines"], a + 2, b - a - 1)))
     cleaned = F.array_join(F.flatten(F.flatten(stretches)), "\n")
-    rest = F.when(F.col("cuts").isNull(), F.col("text")).otherwise(cleaned)
-    return keyed.join(cuts, "key", "left").select(*[rest.alias(c) if c == text else F.col("own")[c].alias(c) for c in docs.columns])
+    return F.when(cuts.isNull(), text).otherwise(cleaned)
 
 
 def _named(docs: DataFrame) -> list[Column]:
@@ -169,18 +169,31 @@ def clean(
     frame has it.
     """
     gone = cut(surplus(cut(line_counts(docs, text, host, doc_id)), max_docs))
-    kept = _judged(docs, gone, text, host, max_removed).where("kept").select("own.*")
-    cleaned = without_lines(kept, gone, text, host)
+    lost = depleted(gone, max_removed).select("key")
+    places = line_places(docs, gone, text, host).join(lost, "key", "left_anti")
+    marks = places.select("key", F.lit(False).alias("lost"), "cuts").unionByName(lost.select("key", F.lit(True).alias("lost"), F.lit(None).cast("array<int>").alias("cuts")))
+    passed = _featured(docs, text, host).where(~_failed()).select("own", "key")
+    # the one exchange of texts, by the same plan at every size
+    kept = passed.join(marks.hint("merge"), "key", "left").where("lost IS NULL OR NOT lost")
+    rest = _rest(F.col("own")[text], F.col("cuts"))
+    cleaned = kept.select(*[rest.alias(c) if c == text else F.col("own")[c].alias(c) for c in docs.columns])
     return cleaned.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cleaned
 
 
-def _judged(docs: DataFrame, gone: DataFrame, text: str, host: str, max_removed: float) -> DataFrame:
-    """Rows ``(own, made, base_failed, kept)``: the caller's row, the base features and the verdicts.
+def _featured(docs: DataFrame, text: str, host: str) -> DataFrame:
+    """Rows ``(own, key, made)``: the caller's columns in one struct, so that no names clash, and the base features.
 
     The features come out of a generator, below which no filter on them can be pushed: they
     are computed once for each row, whatever is asked of the result.
     """
+    return docs.select(F.struct(*_named(docs)).alias("own"), _text_key(F.col(host), F.col(text)).alias("key"), F.explode(F.array(base_features(F.col(text)))).alias("made"))
+
+
+def _failed() -> Column:
+    return (F.col("made.n_words") < 50) | (100 * F.col("made.n_repeat_words") > 50 * F.col("made.n_words"))
+
+
+def _judged(docs: DataFrame, gone: DataFrame, text: str, host: str, max_removed: float) -> DataFrame:
+    """Rows ``(own, made, base_failed, kept)``: the caller's row, the base features and the verdicts."""
     lost = depleted(gone, max_removed).select("key", "lost")
-    keyed = docs.select(F.struct(*_named(docs)).alias("own"), _text_key(F.col(host), F.col(text)).alias("key"), F.explode(F.array(base_features(F.col(text)))).alias("made"))
-    failed = (F.col("made.n_words") < 50) | (100 * F.col("made.n_repeat_words") > 50 * F.col("made.n_words"))
-    return keyed.join(lost, "key", "left").select("own", "made", failed.alias("base_failed"), (~failed & F.col("lost").isNull()).alias("kept"))
+    return _featured(docs, text, host).join(lost, "key", "left").select("own", "made", _failed().alias("base_failed"), (~_failed() & F.col("lost").isNull()).alias("kept"))
