@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import ann, licenses, minhash, mixing, packing, pii, prefix_trie, quality, sharding, spelling, token_files, toxicity, warc
-from tidemark.llm.shared import table
+from tidemark.llm.shared import cut, table
 
 
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +50,8 @@ def revisit_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return licenses.scan(docs, licenses.train(docs))
+    found = cut(licenses.windows(docs))
+    return licenses.scan(docs, licenses.train(docs, found=found), found=found)
 
 
 def histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
