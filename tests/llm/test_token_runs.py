@@ -33,3 +33,41 @@ def test_a_full_cache_starts_anew(monkeypatch):
     monkeypatch.setattr(tokens, "CACHE", 5)
     texts = [f"a{i} b{i}, c{i}.\nD{i}" for i in range(20)] * 2
     assert list(tokens.encode(texts)) == list(map(whole, texts))
+
+
+def test_words_go_to_the_vocabulary_without_its_search_for_words(monkeypatch):
+    """Each new word is looked at once and alone; ids are those of whole texts, for every letter of Latin-1 too."""
+    letters = [chr(c) for c in range(0xAA, 0x100)]
+    words = [f"{a}x{b}" for a, b in zip(letters, reversed(letters), strict=True)] + ["Zebrafinkish", "ñandú", "Straßenzüge"]
+    texts = [" ".join(words), "\n".join(words), ". ".join(words), *letters, *words]
+    tokens._cache.clear()
+    tokens._spaced.clear()
+    assert list(tokens.encode(texts)) == list(map(whole, texts))
+    known = {p for p in tokens._cache if tokens.WORD.fullmatch(p.removeprefix(" "))}
+    assert {"Zebrafinkish", " ñandú", " Straßenzüge"} <= known
+    tokens._cache.clear()
+    tokens._spaced.clear()
+
+    class Refusing:
+        def encode_batch_fast(self, *_, **__):
+            raise AssertionError("a plain word was searched for words")
+
+    plain = "Zebrafinkish ñandú Straßenzüge again"
+    expected = whole(plain)
+    tokens._words(tokens.vocabulary_path())
+    with monkeypatch.context() as patched:
+        patched.setattr(tokens, "_tokenizer", lambda path: Refusing())
+        assert list(tokens.encode([plain])) == [expected]
+
+
+def test_another_vocabulary_finds_no_ids_of_the_first(tmp_path):
+    list(tokens.encode(["hello there"]))
+    other = str(tmp_path / "other.json")
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    small = Tokenizer(models.BPE({c: i for i, c in enumerate(sorted(pre_tokenizers.ByteLevel.alphabet()))}, []))
+    small.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    small.save(other)
+    ids = small.encode("hello there").ids
+    assert list(tokens.encode(["hello there"], other)) == [array("I", [*ids, tokens.END_ID]).tobytes()]
+    assert list(tokens.encode(["hello there"])) == [whole("hello there")]
